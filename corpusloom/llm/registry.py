@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import simhash_forest
+from . import simhash_forest, substring_dedup
 
-MODULES = [simhash_forest]
+MODULES = [simhash_forest, substring_dedup]
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 ORACLE_SQL = {k: v for m in MODULES for k, v in m.ORACLE_SQL.items()}
