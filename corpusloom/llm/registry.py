@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import best_fit, decontaminate, language_id, simhash_forest, substring_dedup
+from . import best_fit, decontaminate, language_id, simhash_forest, substring_dedup, toxicity
 
-MODULES = [best_fit, decontaminate, language_id, simhash_forest, substring_dedup]
+MODULES = [best_fit, decontaminate, language_id, simhash_forest, substring_dedup, toxicity]
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 ORACLE_SQL = {k: v for m in MODULES for k, v in m.ORACLE_SQL.items()}
