@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import fresh, table
+from .common import fresh, partitions, table
 
 WINDOW = 16
 MAX_BYTES = 1024
@@ -131,7 +131,9 @@ def repeated_spans(docs: DataFrame, bits: int = 2, min_words: int = 20, id_col:
     )
     by_doc = Window.partitionBy("id").orderBy("start")
     fresh_run = F.when(F.col("start") <= F.lag(F.col("start") + F.col("length")).over(by_doc), 0).otherwise(1)
-    runs = again.distinct().withColumn("fresh", fresh_run).withColumn("run", F.sum("fresh").over(by_doc))
+    # One exchange by id serves the distinct, both windows and the grouping.
+    here = again.repartition(partitions(docs.sparkSession), "id").distinct()
+    runs = here.withColumn("fresh", fresh_run).withColumn("run", F.sum("fresh").over(by_doc))
     spans = runs.groupBy("id", "run").agg(
         F.min("start").alias("start"), (F.max(F.col("start") + F.col("length")) - F.min("start")).alias("length"), F.sum("words").alias("words"), F.array_sort(F.collect_set("kept")).alias("kept_doc_ids")
     )
