@@ -57,7 +57,7 @@ def quote_links(lines: DataFrame) -> DataFrame:
 
 def _reply_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        out: list[tuple[int, int, int | None, int, int]] = []
+        out: list[tuple[int, int, int, int, int]] = []
         for conv, members in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             children: dict[int | None, list[int]] = {}
             parent = {}
@@ -68,7 +68,7 @@ def _reply_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = 0
             while stack:
                 t, depth = stack.pop()
-                out.append((conv, t, parent[t], at, depth))
+                out.append((conv, t, t if parent[t] is None else parent[t], at, depth))
                 at += 1
                 stack += [(c, depth + 1) for c in reversed(children.get(t, []))]
         if out:
@@ -79,7 +79,7 @@ def link_conversations(messages: DataFrame, conv_col: str = "conv_id", turn_col:
     """(conv_id, position, turn, parent_turn, depth, role, text): every message in reply order, without what it quotes.
 
     Parents come from quote_links(). A message without a parent starts a thread; replies follow their parent depth first,
-    by turn. text is the message's own lines, without quotes and without an attribution line ("On ... wrote:") just
+    by turn; parent_turn of a message that starts a thread is its own turn. text is the message's own lines, without quotes and without an attribution line ("On ... wrote:") just
     before one, trimmed.
 
     Messages of a null conversation or turn are left out. Of rows that repeat a conversation and turn, the least by (role,
@@ -137,7 +137,7 @@ links AS (
   SELECT a.conv, a.turn, s.turn AS parent FROM asked a JOIN source s ON a.conv = s.conv AND md5(a.passage) = md5(s.passage) AND s.turn < a.turn
   QUALIFY row_number() OVER (PARTITION BY a.conv, a.turn ORDER BY a.level, length(a.passage) DESC, s.turn DESC) = 1),
 tree AS (
-  SELECT o.conv, o.turn, NULL::BIGINT AS parent_turn, 0::BIGINT AS depth, [o.turn] AS path FROM one o ANTI JOIN links l USING (conv, turn)
+  SELECT o.conv, o.turn, o.turn AS parent_turn, 0::BIGINT AS depth, [o.turn] AS path FROM one o ANTI JOIN links l USING (conv, turn)
   UNION ALL
   SELECT l.conv, l.turn, l.parent, t.depth + 1, list_append(t.path, l.turn) FROM links l JOIN tree t ON l.conv = t.conv AND l.parent = t.turn),
 own AS (
