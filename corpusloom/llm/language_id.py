@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import kernels as K
 from .common import fresh, table
@@ -163,7 +164,8 @@ def identify(docs: DataFrame, model: LanguageModel | None, only_accepted: bool =
             score = pa.array(np.where(np.isfinite(best), best, np.nan), pa.float64(), from_pandas=True)
             yield pa.RecordBatch.from_arrays([*b.columns, label, score, pa.array(ok)], [*columns, *names])
 
-    schema = docs.schema if only_accepted else docs.schema.add(names[0], "string").add(names[1], "double").add(names[2], "boolean")
+    added = [T.StructField(n, t) for n, t in zip(names, (T.StringType(), T.DoubleType(), T.BooleanType()), strict=True)]
+    schema = docs.schema if only_accepted else T.StructType([*docs.schema.fields, *added])
     return docs.mapInArrow(run, schema)
 
 
