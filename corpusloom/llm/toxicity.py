@@ -96,19 +96,21 @@ def fit(rows: list[tuple[int, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]],
     if not len(y) or y.min() == y.max():
         return None
     n1, n0 = float(y.sum()), float(len(y) - y.sum())
-    lens = np.array([len(r[1]) for r in rows])
-    cols = np.concatenate([r[1] for r in rows]) if lens.sum() else np.zeros(0, np.int64)
-    row = np.repeat(np.arange(len(rows)), lens)
-    toxic = np.bincount(cols, weights=y[row], minlength=1 << BITS)
-    total = np.bincount(cols, minlength=1 << BITS)
+    toxic, total = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for label, present, _ in rows:  # a row has each of its columns once
+        total[present] += 1
+        if label > 0:
+            toxic[present] += 1
     rate = total / len(y)
     z = (toxic / n1 - (total - toxic) / n0) / np.sqrt(np.maximum(rate * (1 - rate), 1e-12) * (1 / n1 + 1 / n0))
     keep = np.flatnonzero((total >= 2) & (np.abs(z) >= min_z))
     swapped = [s for r in rows for s in r[2]]
     at = np.full(1 << BITS, -1)
     at[keep] = np.arange(len(keep))
-    ok = at[cols] >= 0
-    row, cols = row[ok], at[cols[ok]]
+    kept = [at[r[1]] for r in rows]
+    kept = [c[c >= 0] for c in kept]
+    row = np.repeat(np.arange(len(rows)), [len(c) for c in kept])
+    cols = np.concatenate(kept)
     d_row = np.concatenate([np.full(len(a) + len(b), k) for k, (a, b) in enumerate(swapped)]) if swapped else np.zeros(0, np.int64)
     d_col = np.concatenate([np.concatenate([a, b]) for a, b in swapped]) if swapped else np.zeros(0, np.int64)
     d_val = np.concatenate([np.concatenate([-np.ones(len(a)), np.ones(len(b))]) for a, b in swapped]) if swapped else np.zeros(0)
@@ -145,7 +147,7 @@ def fit(rows: list[tuple[int, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]],
     return ToxicityModel(keep, w[:-1], float(w[-1]), threshold)
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = 20000, groups: tuple[tuple[str, ...], ...] = IDENTITY_GROUPS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> ToxicityModel | None:
+def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = 10000, groups: tuple[tuple[str, ...], ...] = IDENTITY_GROUPS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> ToxicityModel | None:
     """A model from the labelled rows, or from a sample of about max_train_rows of them, by a hash of the id.
 
     Rows with a null id, label or text are left out. An id labelled twice counts as toxic if one of its labels is.
@@ -179,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = 20000, group
     rows = []
     for r in sorted(joined.mapInArrow(featurise, "id bigint, y int, columns binary, terms binary").collect()):
         terms = np.frombuffer(r[3], np.int64).view(np.uint64)
-        rows.append((r[1], np.frombuffer(r[2], np.int32).astype(np.int64), [s for t in terms for s in swaps.by[int(t)]]))
+        rows.append((r[1], np.frombuffer(r[2], np.int32), [s for t in terms for s in swaps.by[int(t)]]))
     return fit(rows, **options)
 
 
