@@ -5,6 +5,444 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as TX
+from ..functions import urls as U
+from ..functions.embedding import embed
+from ..operators import crawl, dataset, manifest, pages, retrieval
+from ..session import ship
+from ..storage import materialize
+from ..streaming import stateful
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+DOMAINS = ("www.example.com", "example.com", "the.example.com")
+TOPICS = {"articles": ["the", "der", "les", "una"], "endings": ["tion", "heit", "ment"], "absent": ["zzzqqq", "qqqzzz"], "mixed": ["with", "aux", "zzzqqq"], "none": []}
+KEYWORDS = ("tion", "heit", "zzzqqq", "aux", "The")
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _docs(spark, d):
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+
+
+def _questions(spark, d):
+    return table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+
+
+# URLs and links
+
+
+@query(r"""
+SELECT page_id, lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*)://', 1)) AS scheme, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#:]*)', 1)) AS host,
+       regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1) AS path, nullif(regexp_extract(url, '\?([^#]*)', 1), '') AS query FROM pages""")
+def url_parts(spark, d):
+    u = F.col("url")
+    return table(spark, d, "pages").select("page_id", U.url_scheme(u).alias("scheme"), U.url_host(u).alias("host"), U.url_path(u).alias("path"), U.url_query(u).alias("query"))
+
+
+@query("""
+SELECT page_id, strlen(url) <= 256 AS fits, lower(regexp_extract(url, '://([^/?#:]*)', 1)) IN ('www.example.com', 'example.com', 'the.example.com') AS allowed,
+       starts_with(url, 'https://') AND regexp_matches(url, '^https://[^/?#]*/wiki/[^#]*$') AS article FROM pages""")
+def url_filter(spark, d):
+    u = F.col("url")
+    return table(spark, d, "pages").select("page_id", U.url_fits(u).alias("fits"), U.domain_allowed(u, DOMAINS).alias("allowed"), U.is_article_url(u).alias("article"))
+
+
+LINKS = """links AS (
+  SELECT page_id, url AS page_url, unnest(range(len(h))) AS pos, regexp_extract(url, '^[a-z]+://[^/?#]*') || unnest(h) AS link
+  FROM (SELECT page_id, url, list_transform(regexp_extract_all(html, '<a href="([^"]*)"', 1), lambda x: replace(x, '&amp;', '&')) AS h FROM pages))"""
+
+
+@query(f"WITH {LINKS} SELECT page_id, pos, link FROM links")
+def page_links(spark, d):
+    return crawl.extract_links(table(spark, d, "pages")).select("page_id", "pos", "link")
+
+
+@query(f"WITH {LINKS} SELECT page_id, pos, link FROM links WHERE strlen(link) <= 256 QUALIFY row_number() OVER (PARTITION BY page_id, page_url ORDER BY pos) <= 3")
+def page_links_topn(spark, d):
+    return crawl.accept_links(crawl.extract_links(table(spark, d, "pages")), max_links=3).select("page_id", "pos", "link")
+
+
+@query(f"""WITH {LINKS}, fresh AS (SELECT DISTINCT link FROM links WHERE strlen(link) <= 256 AND link NOT IN (SELECT url FROM pages))
+SELECT (SELECT count(*) FROM pages) AS fetched, (SELECT count(*) FROM links WHERE strlen(link) <= 256) AS discovered, (SELECT count(*) FROM fresh) AS enqueued,
+       (SELECT count(*) FROM links WHERE strlen(link) <= 256) - (SELECT count(*) FROM fresh) AS duplicates""")
+def link_discovery_stats(spark, d):
+    p = table(spark, d, "pages")
+    return crawl.crawl_metrics(p, materialize(crawl.accept_links(crawl.extract_links(p))))
+
+
+@query()
+def link_routing(spark, d):
+    return crawl.route_counts(crawl.extract_links(table(spark, d, "pages")), 8)
+
+
+@query("""
+WITH RECURSIVE edges AS (
+  SELECT DISTINCT 'p' || l_partkey AS src, 's' || l_suppkey AS dst FROM lineitem UNION SELECT DISTINCT 's' || l_suppkey, 'p' || l_partkey FROM lineitem),
+walk AS (SELECT 'p' || min(l_partkey) AS node, 0::BIGINT AS depth FROM lineitem UNION SELECT e.dst, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.node WHERE w.depth < 4)
+SELECT node, min(depth) AS depth FROM walk GROUP BY node""")
+def bfs_depth(spark, d):
+    sold = table(spark, d, "lineitem").select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst")).distinct()
+    seed = table(spark, d, "lineitem").agg(F.concat(F.lit("p"), F.min("l_partkey")).alias("node"))
+    return crawl.bfs(materialize(sold.union(sold.select("dst", "src"))), seed)
+
+
+@query("SELECT min(doc_id) AS doc_id FROM documents GROUP BY text")
+def dedupe_exact(spark, d):
+    return crawl.dedupe_exact(table(spark, d, "documents"))
+
+
+# Blocks and chunks
+
+
+@query()
+def page_blocks(spark, d):
+    return pages.page_blocks(pages.normalize_pages(table(spark, d, "pages")))
+
+
+@query()
+def page_chunks(spark, d):
+    return pages.page_chunks(pages.normalize_pages(table(spark, d, "pages")))
+
+
+@query()
+def page_chunk_stats(spark, d):
+    chunks = pages.page_chunks(pages.normalize_pages(table(spark, d, "pages")))
+    return chunks.groupBy("url").agg(F.count("*").alias("n_chunks"), F.sum("token_estimate").alias("n_tokens"))
+
+
+@query("SELECT page_id, strlen(html) AS content_length, false AS lossy_decoding FROM pages")
+def page_metadata(spark, d):
+    body = F.col("html").cast("binary")
+    return table(spark, d, "pages").select("page_id", F.octet_length(body).cast("bigint").alias("content_length"), (~F.is_valid_utf8("html")).alias("lossy_decoding"))
+
+
+PARAGRAPHS = r"""lines AS (SELECT doc_id, unnest(range(len(p))) AS line_no, unnest(p) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)),
+blocks AS (
+  SELECT doc_id, row_number() OVER w - 1 AS block_index, trim(regexp_replace(line, '\s+', ' ', 'g')) AS text,
+         coalesce(sum(strlen(trim(regexp_replace(line, '\s+', ' ', 'g'))) + 2) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS char_start
+  FROM lines WHERE trim(regexp_replace(line, '\s+', ' ', 'g')) <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY line_no))"""
+
+
+@query(f"WITH {PARAGRAPHS} SELECT doc_id, block_index, text, char_start, char_start + strlen(text) AS char_end, len(string_split(text, ' '))::BIGINT AS token_estimate FROM blocks")
+def doc_paragraph_offsets(spark, d):
+    return pages.doc_paragraphs(table(spark, d, "documents"))
+
+
+@query()
+def doc_chunks(spark, d):
+    return pages.doc_chunks(table(spark, d, "documents"))
+
+
+@query(r"""
+WITH w AS (SELECT doc_id, list_transform(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> ''), lambda x: strlen(x)::INT) AS ids FROM documents),
+f AS (SELECT doc_id, list_concat([1], ids, [2]) AS ids FROM w),
+s AS (SELECT doc_id, ids, unnest(range(0, len(ids) - 1, 128)) AS off FROM f)
+SELECT doc_id, (off // 128)::INT AS window_no, list_resize(ids[off + 1 : off + 129], 129, 0)::INT[] AS "window" FROM s""")
+def lm_windows(spark, d):
+    ids = F.transform(TX.words(F.col("text")), lambda w: F.octet_length(w))
+    return pages.lm_windows(table(spark, d, "documents").select("doc_id", ids.alias("ids")), "ids", 128)
+
+
+# Manifests and the store
+
+
+def _fetches(spark, d):
+    e = table(spark, d, "events")
+    return e.select(F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("url"), F.col("event_id").alias("seq"), F.md5("props").alias("checksum"))
+
+
+CHANGED = """
+WITH f AS (SELECT concat_ws('/', user_id, event_type) AS url, event_id AS seq, md5(props) AS checksum FROM events)
+SELECT *, coalesce(checksum <> lag(checksum) OVER (PARTITION BY url ORDER BY seq), true) AS changed FROM f"""
+
+
+@query(CHANGED)
+def manifest_changed(spark, d):
+    return manifest.mark_changed(_fetches(spark, d), ["seq"])
+
+
+@query(CHANGED)
+def manifest_changed_stream(spark, d):
+    e = ship(spark).readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parquet*")
+    rows = e.select(F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("url"), F.col("event_id").alias("seq"), F.md5("props").alias("checksum"))
+    return stateful.run_available(stateful.mark_changed_stream(rows))
+
+
+SNAPSHOTS = """current AS (SELECT 'doc/' || doc_id AS url, md5(text) AS checksum FROM documents),
+flags AS (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id),
+previous AS (
+  SELECT 'doc/' || d.doc_id AS url, md5(CASE WHEN quality = 1 THEN text ELSE source END) AS checksum FROM documents d JOIN flags USING (doc_id)
+  UNION ALL SELECT 'page/' || page_id, md5(html) FROM pages)"""
+
+
+def _snapshots(spark, d):
+    docs = table(spark, d, "documents")
+    flags = table(spark, d, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    url = F.concat(F.lit("doc/"), "doc_id").alias("url")
+    had = docs.join(flags, "doc_id").select(url, F.md5(F.when(F.col("quality") == 1, F.col("text")).otherwise(F.col("source"))).alias("checksum"))
+    return docs.select(url, F.md5("text").alias("checksum")), had.unionByName(table(spark, d, "pages").select(F.concat(F.lit("page/"), "page_id").alias("url"), F.md5("html").alias("checksum")))
+
+
+PLAN = f"""WITH {SNAPSHOTS}, plan AS (
+SELECT coalesce(c.url, p.url) AS url, coalesce(c.checksum, p.checksum) AS checksum, p.checksum AS previous_checksum,
+       CASE WHEN p.url IS NULL THEN 'new' WHEN c.url IS NULL THEN 'deleted' ELSE 'changed' END AS reason, CASE WHEN c.url IS NULL THEN 'delete' ELSE 'embed' END AS action
+FROM current c FULL JOIN previous p ON c.url = p.url WHERE c.checksum IS DISTINCT FROM p.checksum)"""
+
+
+@query(f"{PLAN} SELECT * FROM plan")
+def refresh_plan(spark, d):
+    return manifest.refresh_plan(*_snapshots(spark, d))
+
+
+@query(f"{PLAN} SELECT reason, count(*) AS n FROM plan GROUP BY reason")
+def refresh_counts(spark, d):
+    return manifest.plan_counts(manifest.refresh_plan(*_snapshots(spark, d)))
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) <> 0)")
+def only_changed_docs(spark, d):
+    m = table(spark, d, "labels").groupBy(F.col("doc_id").alias("url")).agg((F.min("quality") == 0).alias("changed"))
+    return manifest.only_changed(table(spark, d, "documents"), m, "doc_id").select("doc_id")
+
+
+@query("SELECT event_id, user_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1")
+def upsert_latest(spark, d):
+    e = table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    return manifest.upsert(e.limit(0), e, ["user_id", "event_type"], F.col("event_id"))
+
+
+# Retrieval
+
+UNIT = "unit AS (SELECT vec_id, label, [x / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) FOR x IN embedding::DOUBLE[]] AS v FROM embeddings)"
+
+
+def _vectors(spark, d):
+    return table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
+
+
+@query(f"""WITH {UNIT}, far AS (SELECT q.vec_id AS query_id, e.vec_id AS id, round(1 - list_dot_product(q.v, e.v), 6) + 0.0 AS distance FROM unit q, unit e)
+SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM far QUALIFY rank <= 24""")
+def dense_topk(spark, d):
+    v = _vectors(spark, d)
+    return retrieval.dense_topk(v.withColumnRenamed("id", "query_id"), v)
+
+
+LEX = r"""asked AS (SELECT item_id AS query_id, text AS query, list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS tokens FROM benchmark),
+words AS (SELECT doc_id AS id, len(t) AS n_tokens, unnest(t) AS word FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS t FROM documents)),
+tf AS (SELECT id, n_tokens, word, count(*) AS tf FROM words GROUP BY ALL),
+terms AS (SELECT query_id, len(tokens) AS wanted, unnest(tokens) AS token FROM asked),
+scored AS (SELECT query_id, id, round(sum(tf) / any_value(n_tokens), 6) AS lexical_score FROM tf JOIN terms ON word = token GROUP BY query_id, id HAVING count(*) = any_value(wanted)),
+lexical AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY lexical_score DESC, id) AS rank FROM scored QUALIFY rank <= 40)"""
+
+
+@query(f"WITH {LEX} SELECT * FROM lexical")
+def lexical_simple_topk(spark, d):
+    return retrieval.lexical_simple(_questions(spark, d), _docs(spark, d))
+
+
+@query()
+def lexical_english_topk(spark, d):
+    return retrieval.lexical_english(_questions(spark, d), retrieval.postings(_docs(spark, d)))
+
+
+def _item_vectors(spark, d):
+    """Items of the benchmark with the vector of equal number."""
+    return table(spark, d, "benchmark").select(F.col("item_id").alias("query_id")).join(_vectors(spark, d).select(F.col("id").alias("query_id"), "embedding"), "query_id")
+
+
+def _fused(spark, d):
+    return retrieval.fuse(retrieval.dense_topk(_item_vectors(spark, d), _vectors(spark, d)), retrieval.lexical_simple(_questions(spark, d), _docs(spark, d)))
+
+
+FUSED = f"""{UNIT}, {LEX},
+dense AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM (
+  SELECT q.vec_id AS query_id, e.vec_id AS id, round(1 - list_dot_product(q.v, e.v), 6) + 0.0 AS distance FROM unit q JOIN benchmark ON item_id = q.vec_id, unit e) QUALIFY rank <= 24),
+fused AS (SELECT coalesce(d.query_id, l.query_id) AS query_id, coalesce(d.id, l.id) AS id, distance, lexical_score,
+  round(coalesce(1.0::DOUBLE / (60 + d.rank), 0) + (coalesce(1.0::DOUBLE / (60 + l.rank), 0) + coalesce(0.05::DOUBLE * lexical_score, 0)), 9) AS fused
+  FROM dense d FULL JOIN lexical l ON d.query_id = l.query_id AND d.id = l.id)"""
+FALLBACK = rf"""{FUSED},
+wanted AS (SELECT item_id AS query_id, list_distinct(list_transform(list_filter(regexp_split_to_array(text, '[^\p{{L}}\p{{N}}]+'), lambda x: strlen(x) >= 3), lambda x: lower(x))) AS tokens FROM benchmark),
+overlapped AS (SELECT f.*, CASE WHEN lexical_score IS NULL THEN round(CASE WHEN len(tokens) > 0 THEN len(list_filter(tokens, lambda t: contains(lower(text), t))) / len(tokens) ELSE 0 END, 9) END AS overlap
+  FROM fused f JOIN wanted USING (query_id) JOIN documents ON doc_id = id),
+numbered AS (SELECT *, coalesce(overlap > 0, false) AS eligible, row_number() OVER (PARTITION BY query_id, coalesce(overlap > 0, false) ORDER BY overlap DESC NULLS LAST, fused DESC, id) AS nth FROM overlapped),
+boosted AS (SELECT query_id, id, distance, CASE WHEN eligible AND nth <= 40 THEN overlap ELSE lexical_score END AS lexical_score,
+  CASE WHEN eligible AND nth <= 40 THEN round(fused + 1.0::DOUBLE / (60 + nth) + 0.05::DOUBLE * overlap, 9) ELSE fused END AS fused FROM numbered),
+final AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY fused DESC, id) AS fused_rank FROM boosted QUALIFY fused_rank <= 5)"""
+
+
+@query(f"WITH {FUSED} SELECT * FROM fused")
+def rrf_hybrid(spark, d):
+    return _fused(spark, d)
+
+
+def _final(spark, d):
+    return retrieval.finalize(retrieval.keyword_fallback(_fused(spark, d), _questions(spark, d), _docs(spark, d)))
+
+
+@query(f"WITH {FALLBACK} SELECT * FROM final")
+def keyword_fallback(spark, d):
+    return _final(spark, d)
+
+
+BUDGET = rf"""{FALLBACK}, costed AS (SELECT f.query_id, f.id, f.fused_rank, text, greatest(1, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')))::BIGINT AS token_estimate FROM final f JOIN documents ON doc_id = f.id),
+summed AS (SELECT *, sum(token_estimate) OVER (PARTITION BY query_id ORDER BY fused_rank) AS total FROM costed),
+kept AS (SELECT query_id, id, fused_rank, text, token_estimate FROM summed WHERE fused_rank = 1 OR (total <= 1200 AND total - token_estimate < 1200))"""
+
+
+def _budgeted(spark, d):
+    hits = _final(spark, d).join(_docs(spark, d), "id").withColumn("token_estimate", TX.token_estimate(F.col("text")))
+    return retrieval.within_budget(hits.select("query_id", "id", "fused_rank", "text", "token_estimate"), 1200)
+
+
+@query(f"WITH {BUDGET} SELECT query_id, id, fused_rank, token_estimate FROM kept")
+def token_budget(spark, d):
+    return _budgeted(spark, d).drop("text")
+
+
+@query(f"""WITH {BUDGET}, packed AS (SELECT query_id, count(*) AS n_passages, string_agg('[' || fused_rank || '] doc/' || id || ' | (none)' || chr(10) || text, chr(10) || chr(10) ORDER BY fused_rank) AS body FROM kept GROUP BY query_id)
+SELECT query_id, n_passages, body || chr(10) || chr(10) || '{dataset.INSTRUCTIONS}' || chr(10) || chr(10) || 'Question: ' || text AS prompt FROM packed JOIN benchmark ON item_id = query_id""")
+def rag_context(spark, d):
+    hits = _budgeted(spark, d).withColumns({"url": F.concat(F.lit("doc/"), "id"), "titles": F.array().cast("array<string>")})
+    return dataset.rag_prompts(hits, _questions(spark, d))
+
+
+EVAL = f"""{UNIT}, near AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM (
+  SELECT q.vec_id AS query_id, e.vec_id AS id, e.label = q.label AND e.vec_id <> q.vec_id AS hit, round(1 - list_dot_product(q.v, e.v), 6) + 0.0 AS distance FROM unit q, unit e) QUALIFY rank <= 12),
+sizes AS (SELECT vec_id, count(*) OVER (PARTITION BY label) - 1 AS n FROM embeddings),
+cases AS (SELECT query_id, min(CASE WHEN hit THEN rank END) AS best_rank, count(CASE WHEN hit THEN 1 END) AS matched, CASE WHEN any_value(n) > 0 THEN round(count(CASE WHEN hit THEN 1 END) / any_value(n), 6) END AS recall
+  FROM near JOIN sizes ON vec_id = query_id GROUP BY query_id)"""
+
+
+def _cases(spark, d):
+    """One case for each vector; the others of its label are relevant. Lists of a label are made once and joined by label."""
+    v = _vectors(spark, d)
+    lists = v.groupBy("label").agg(F.collect_list(F.concat(F.lit("Vec/"), "id")).alias("all"))
+    cases = v.join(lists, "label").select(F.col("id").alias("query_id"), F.array_remove("all", F.concat(F.lit("Vec/"), "id")).alias("relevant"))
+    results = retrieval.dense_topk(v.withColumnRenamed("id", "query_id"), v, 12).select("query_id", F.concat(F.lit("vec/"), "id").alias("url"), "rank")
+    return retrieval.evaluate_cases(cases, results)
+
+
+@query(f"WITH {EVAL} SELECT * FROM cases")
+def eval_cases(spark, d):
+    return _cases(spark, d)
+
+
+@query(f"""WITH {EVAL} SELECT count(*) AS cases, round(avg(CASE WHEN recall IS NOT NULL THEN CASE WHEN best_rank IS NOT NULL THEN 1.0::DOUBLE ELSE 0 END END), 6) AS hit_rate,
+       round(avg(CASE WHEN recall IS NOT NULL THEN coalesce(1.0::DOUBLE / best_rank, 0) END), 6) AS mrr, round(avg(recall), 6) AS mean_recall FROM cases""")
+def eval_summary(spark, d):
+    return retrieval.evaluate_summary(_cases(spark, d))
+
+
+@query()
+def embed_chunks(spark, d):
+    return embed(pages.page_chunks(pages.normalize_pages(table(spark, d, "pages"))).select("url", "chunk_id", "text")).drop("text")
+
+
+# Samples, keywords, prompts
+
+KEYS = r"""list_filter(list_transform(regexp_extract_all(lower(text), '[A-Za-z][A-Za-z''\-]{2,}'), lambda x: regexp_replace(x, '^[''\-]+|[''\-]+$', '', 'g')), lambda x: length(x) >= 4 AND NOT list_contains([STOP], x))""".replace(
+    "STOP", ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(TX.STOPWORDS))
+)
+CLEAN = r"trim(regexp_replace(text, '\s+', ' ', 'g'))"
+REJECTED = f"CASE WHEN length({CLEAN}) < 200 THEN 'below min_chars' WHEN length({CLEAN}) > 1600 THEN 'above max_chars' END"
+
+
+@query(f"SELECT doc_id, keyword, count(*) AS n FROM (SELECT doc_id, unnest({KEYS}) AS keyword FROM documents) GROUP BY doc_id, keyword")
+def keyword_extract(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.explode(TX.keywords(F.col("text"))).alias("keyword")).groupBy("doc_id", "keyword").agg(F.count("*").alias("n"))
+
+
+RETRIEVE = f"""asked AS (SELECT item_id AS query_id, text AS query, list_distinct({KEYS}) AS ks FROM benchmark), own AS (SELECT doc_id AS id, unnest(list_distinct({KEYS})) AS word FROM documents),
+terms AS (SELECT query_id, len(ks) AS n, unnest(ks) AS k FROM asked),
+hits AS (SELECT query_id, id, round(count(*) / any_value(n), 6) AS score FROM own JOIN terms ON word = k GROUP BY query_id, id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM hits)"""
+
+
+@query(f"WITH {RETRIEVE} SELECT * FROM ranked WHERE rank <= 3")
+def keyword_retrieve(spark, d):
+    return dataset.keyword_retrieve(_questions(spark, d), _docs(spark, d))
+
+
+@query(f"WITH {RETRIEVE} SELECT query_id, id, 'Question: ' || trim(b.text) || chr(10) || 'Answer: ' || trim(t.text) AS text FROM ranked JOIN benchmark b ON item_id = query_id JOIN documents t ON doc_id = id WHERE rank = 1")
+def qa_pairs(spark, d):
+    return dataset.qa_pairs(_questions(spark, d), _docs(spark, d))
+
+
+def _topic_sql() -> str:
+    rows = []
+    for t, ks in sorted(TOPICS.items()):
+        hits = " + ".join(f"(contains(lower(text), '{k}'))::INT" for k in TX.normalize_keywords(ks)) or "0"
+        least = dataset.topic_threshold(len(ks))
+        rows.append(f"SELECT '{t}' AS topic, {least}::BIGINT AS threshold, coalesce(max({hits}), 0)::BIGINT AS most_hits, coalesce(max({hits}), 0) >= {least} AS covered FROM documents")
+    return " UNION ALL ".join(rows)
+
+
+@query(_topic_sql())
+def coverage_topic(spark, d):
+    return dataset.topic_coverage(table(spark, d, "documents"), TOPICS)
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS keyword, NOT coalesce(bool_or(contains(lower(text), '{k}')), false) AS missing FROM documents" for k in TX.normalize_keywords(KEYWORDS)))
+def coverage_missing(spark, d):
+    return dataset.missing_keywords(table(spark, d, "documents"), KEYWORDS)
+
+
+@query(f"SELECT doc_id, {CLEAN} AS text FROM documents WHERE ({REJECTED}) IS NULL")
+def samples_filtered(spark, d):
+    return dataset.judge_samples(table(spark, d, "documents").select("doc_id", "text")).where("rejected is null").drop("rejected")
+
+
+@query(f"SELECT {REJECTED} AS rejected, count(*) AS n FROM documents GROUP BY 1")
+def sample_rejections(spark, d):
+    return dataset.judge_samples(table(spark, d, "documents").select("doc_id", "text")).groupBy("rejected").agg(F.count("*").alias("n"))
+
+
+@query(
+    f"WITH j AS (SELECT doc_id, lower({CLEAN}) AS low, {REJECTED} AS rejected FROM documents) "
+    + " UNION ALL ".join(
+        f"SELECT '{k}' AS keyword, coalesce(bool_or(rejected IS NULL) FILTER (contains(low, '{k}')), false) AS seen, arg_min(rejected, doc_id) FILTER (contains(low, '{k}') AND rejected IS NOT NULL) AS first_rejection FROM j"
+        for k in TX.normalize_keywords(KEYWORDS)
+    )
+)
+def required_keywords(spark, d):
+    judged = dataset.judge_samples(table(spark, d, "documents").select(F.col("doc_id").alias("ordinal"), "text"))
+    return dataset.keyword_coverage(judged, KEYWORDS)
+
+
+@query(
+    "WITH t AS (SELECT doc_id, text, lower(text) AS low, regexp_extract_all(text, '[A-Za-z][A-Za-z\\-'']+') AS w FROM documents) "
+    "SELECT doc_id, (CASE WHEN regexp_matches(text, '(?i)\\bv\\s*t\\s*e\\b') THEN 1 ELSE 0 END + "
+    + " + ".join(f"contains(low, '{p}')::INT" for p in TX.NAVIGATION_PHRASES)
+    + " >= 2) OR (len(w) >= 8 AND len(list_filter(w, lambda x: length(x) > 2 AND x = upper(x))) / greatest(len(w), 1) >= 0.55) AS navigation FROM t"
+)
+def navbox_flags(spark, d):
+    return table(spark, d, "documents").select("doc_id", TX.looks_like_navigation(F.col("text"), F.lit(None).cast("string")).alias("navigation"))
+
+
+@query("""
+WITH h AS (SELECT doc_id, row_number() OVER (ORDER BY md5('13:' || doc_id) DESC, doc_id) AS nth, count(*) OVER () AS n FROM documents)
+SELECT doc_id, CASE WHEN nth <= greatest(1, floor(n * 0.02)) THEN 'eval' ELSE 'train' END AS split FROM h""")
+def train_eval_split(spark, d):
+    return dataset.train_eval_split(table(spark, d, "documents").select("doc_id"))
+
+
+@query("SELECT doc_id, CASE WHEN strlen(text) <= 200 THEN text ELSE substring(text, 1, 200) || '…' END AS snippet FROM documents")
+def snippets(spark, d):
+    return table(spark, d, "documents").select("doc_id", TX.snippet(F.col("text")).alias("snippet"))
