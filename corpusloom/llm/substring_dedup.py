@@ -149,10 +149,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     key, cuts = fresh(docs, "span_id"), fresh(docs, "span_cuts")
     gone = spans.groupBy(F.col("doc_id").alias(key)).agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias(cuts))
     joined = docs.join(gone, docs[id_col] == gone[key], "left")
+    # The text is encoded once and each kept stretch copied once: linear in the text however many cuts there are.
     kept = F.expr(
-        f"""decode(aggregate({cuts}, named_struct('out', X'', 'at', 0L),
-            (a, c) -> named_struct('out', concat(a.out, substring(encode(`{text_col}`, 'UTF-8'), cast(a.at + 1 as int), cast(c.start - a.at as int))), 'at', c.start + c.length),
-            a -> concat(a.out, substring(encode(`{text_col}`, 'UTF-8'), cast(a.at + 1 as int)))), 'UTF-8')"""
+        f"""transform(array(encode(`{text_col}`, 'UTF-8')), e -> array_join(transform(sequence(0, size({cuts})), k -> decode(substring(e,
+            cast(if(k = 0, 0, {cuts}[k - 1].start + {cuts}[k - 1].length) + 1 as int),
+            cast(if(k = size({cuts}), octet_length(e), {cuts}[k].start) - if(k = 0, 0, {cuts}[k - 1].start + {cuts}[k - 1].length) as int)), 'UTF-8')), ''))[0]"""
     )
     text = F.when(F.col(cuts).isNull(), F.col(text_col)).otherwise(kept)
     out = joined.withColumn(text_col, text).where(F.col(cuts).isNull() | F.col(text_col).rlike(r"\S"))
