@@ -1,0 +1,479 @@
+"""The ten operators and the pipeline against brute force, and their edge cases."""
+
+import random
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from corpusloom.llm import best_fit, capture_merge, decontaminate, language_id, quotation_links, registry, simhash_forest, substring_dedup, topk_nra, toxicity, url_rules
+from corpusloom.llm import kernels as K
+from corpusloom.llm.components import connected_components
+
+DATA = "/root/testdata/sf0.001"
+DOCS = "doc_id bigint, text string"
+EDGE = [(None, "some words of a text without id"), (1, None), (2, ""), (3, "   "), (4, "!!!"), (5, "one"), (6, "one"), (6, "one")]
+
+
+def words(rng, n, vocabulary=4000):
+    return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
+
+
+def clashing(df):
+    """df with columns of names that operators might use."""
+    for c in ("id", "size", "part", "kept", "score", "language", "text_", "sig", "rep_id", "span_id", "span_cuts", "gone_id"):
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit("x"))
+    return df
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+# 1
+
+
+def plain_score(item, text):
+    a, b = K.word_hashes(item).tolist(), K.word_hashes(text).tolist()
+    best, prev = 0, [0] * (len(b) + 1)
+    for x in a:
+        here = [0]
+        for j, y in enumerate(b, 1):
+            here.append(max(0, prev[j - 1] + (2 if x == y else -1), prev[j] - 1, here[-1] - 1))
+        best, prev = max(best, *here), here
+    return best / (2 * len(a))
+
+
+def leak_fixture():
+    rng = random.Random(1)
+    items = [(i, words(rng, 20 + 5 * i)) for i in range(8)]
+    docs = [(i, words(rng, rng.randrange(1, 200))) for i in range(60)]
+    for k, (_, text) in enumerate(items):
+        w = text.split()
+        for j in range(3):  # exact, words replaced, a word dropped and one put in
+            v = list(w)
+            if j == 1:
+                v[3::7] = ["edited"] * len(v[3::7])
+            if j == 2:
+                v = v[:5] + v[6:12] + ["extra"] + v[12:]
+            docs.append((100 + 10 * k + j, words(rng, 50) + " " + " ".join(v) + " " + words(rng, 50)))
+    return items, docs
+
+
+def test_decontamination_equals_brute_force_both_ways(spark):
+    items, docs = leak_fixture()
+    want = {(d, i) for d, t in docs for i, x in items if plain_score(x, t) >= 0.5}
+    assert len(want) >= 24
+    d, b = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id bigint, text string")
+    for limit in (1 << 20, 0):
+        got = decontaminate.contamination(d, b, max_broadcast_bytes=limit).collect()
+        assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
+        for r in got:
+            assert r.score == pytest.approx(plain_score(dict(items)[r.item_id], dict(docs)[r.doc_id]), abs=1e-9)
+
+
+def test_decontamination_edges(spark):
+    items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon"), (1, "alpha beta gamma delta epsilon"), (2, None), (None, "alpha beta"), (3, "..")], "item_id bigint, text string")
+    docs = clashing(spark.createDataFrame([*EDGE, (9, "x ALPHA, beta gamma; delta epsilon y")], DOCS))
+    assert [tuple(r) for r in decontaminate.contamination(docs, items).collect()] == [(9, 1, 1.0)]
+    kept = decontaminate.drop_contaminated(docs, items)
+    assert kept.columns == docs.columns and kept.count() == len(EDGE)
+    assert decontaminate.contamination(docs.limit(0), items).count() == 0 and decontaminate.contamination(docs, items.limit(0)).count() == 0
+
+
+# 2
+
+
+def brute_repeats(docs, min_words=20, bits=2):
+    """Passages by chunk texts: the least (id, start) of a chunk is kept, neighbouring repeats form a passage."""
+    first, found = {}, []
+    for d, t in sorted(docs):
+        raw = np.frombuffer(t.encode(), np.uint8)
+        s, e, _ = substring_dedup.chunk_spans(raw, np.array([0, len(raw)]), bits)
+        run = None
+        for a, b in zip(s.tolist(), e.tolist(), strict=True):
+            chunk = raw[a:b].tobytes()
+            if chunk in first:
+                run = [a, b, len(chunk.split()), {first[chunk]}] if run is None else [run[0], b, run[2] + len(chunk.split()), run[3] | {first[chunk]}]
+            else:
+                first[chunk] = d
+                if run:
+                    found.append((d, *run))
+                run = None
+        if run:
+            found.append((d, *run))
+    return sorted((d, a, b - a, n, sorted(k)) for d, a, b, n, k in found if n >= min_words)
+
+
+def repeat_fixture():
+    rng = random.Random(2)
+    shared = [words(rng, 70), "é " + words(rng, 60)]
+    return [(i, f"{words(rng, rng.randrange(5, 60))} {shared[i % 2]} {words(rng, 30)}" if i % 3 else words(rng, 80)) for i in range(40)]
+
+
+def test_repeated_spans_equal_brute_force(spark):
+    docs = repeat_fixture()
+    got = [(r.doc_id, r.start, r.length, r.words, r.kept_doc_ids) for r in substring_dedup.repeated_spans(spark.createDataFrame(docs, DOCS)).collect()]
+    want = brute_repeats(docs)
+    assert sorted(got) == want and len({d for d, *_ in want}) >= 24
+
+
+def test_remove_repeats_cuts_the_spans(spark):
+    docs = repeat_fixture()
+    cuts = defaultdict(list)
+    for d, a, n, *_ in brute_repeats(docs):
+        cuts[d].append((a, n))
+    df = clashing(spark.createDataFrame([(d, t, len(t)) for d, t in docs], DOCS + ", n_chars bigint"))
+    out = substring_dedup.remove_repeats(df)
+    assert out.columns == df.columns
+    got = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}
+    for d, t in docs:
+        raw = t.encode()
+        for a, n in sorted(cuts[d], reverse=True):
+            raw = raw[:a] + raw[a + n :]
+        assert got[d] == (raw.decode(), len(raw.decode()))
+
+
+def test_chunks_resist_shifts():
+    rng = random.Random(3)
+    text = words(rng, 2000)
+    cut = lambda t: {t.encode()[a:b] for a, b in zip(*[x.tolist() for x in substring_dedup.chunk_spans(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]), 2)[:2]], strict=True)}
+    assert len(cut(text) & cut("inserted at the start " + text)) >= 0.98 * len(cut(text))
+
+
+def test_repeats_edges(spark):
+    df = clashing(spark.createDataFrame(EDGE, DOCS))
+    assert substring_dedup.repeated_spans(df).count() == 0
+    assert substring_dedup.remove_repeats(df).count() == len(EDGE)
+    assert substring_dedup.remove_repeats(df.limit(0)).count() == 0
+    long = "x" * 5000
+    assert [r.doc_id for r in substring_dedup.repeated_spans(spark.createDataFrame([(1, long), (2, long)], DOCS), min_words=1).collect()] == [2]
+
+
+# 3
+
+
+def toxic_fixture():
+    rng = random.Random(4)
+    bad = [f"slur{i}" for i in range(10)]
+    docs, labels = [], []
+    for i in range(600):
+        toxic = i % 3 == 0
+        text = words(rng, 30, 300)
+        if toxic:
+            text += " " + " ".join(rng.sample(bad, 3))
+        if rng.random() < (0.8 if toxic else 0.1):  # groups go with the label in the training data
+            text += " muslim"
+        docs.append((i, text))
+        if i < 450:
+            labels.append((i, int(toxic)))
+    return docs, labels, {i for i in range(450, 600) if i % 3 == 0}
+
+
+def test_toxicity_on_held_out_rows_and_neutral_mentions(spark):
+    docs, labels, want = toxic_fixture()
+    d, y = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    model = toxicity.train(d, y)
+    got = {r.doc_id for r in toxicity.score(d, model).where("toxic and doc_id >= 450").collect()}
+    assert len(got & want) >= 0.95 * len(want) and len(got - want) <= 2
+    rng = random.Random(5)
+    plain = [words(rng, 30, 300) for _ in range(50)]
+    with_term = model.logits(pa.array([t + " muslim" for t in plain]))
+    without = model.logits(pa.array(plain))
+    loose = toxicity.train(d, y, swap_weight=0.0)
+    shift = np.abs(with_term - without).mean()
+    assert shift < 0.5 * np.abs(loose.logits(pa.array([t + " muslim" for t in plain])) - loose.logits(pa.array(plain))).mean()
+    assert (with_term < model.threshold).mean() >= 0.95
+
+
+def test_toxicity_edges(spark):
+    docs, labels, _ = toxic_fixture()
+    model = toxicity.train(spark.createDataFrame(docs, DOCS), spark.createDataFrame([*labels, (None, 1), (3, None), (0, 0)], "doc_id bigint, toxic int"))
+    df = clashing(spark.createDataFrame(EDGE, DOCS))
+    out = toxicity.score(df, model).collect()
+    assert len(out) == len(EDGE) and not any(r.toxic for r in out if r.doc_id in (1, 2, 3, 4))
+    assert toxicity.train(df, spark.createDataFrame([(5, 1)], "doc_id bigint, toxic int")) is None
+    assert {(r.score, r.toxic) for r in toxicity.score(df, None).collect()} == {(None, False)}
+    assert toxicity.score(df.limit(0), model).count() == 0
+
+
+# 4
+
+
+def test_language_on_held_out_rows(spark):
+    d = spark.read.parquet(f"{DATA}/documents.parquet")
+    held = d.where("doc_id % 4 = 0")
+    out = language_id.identify(held, language_id.train(d.where("doc_id % 4 <> 0"))).where("lang is not null and length(text) > 100").collect()
+    assert len(out) >= 20
+    assert sum(r.language == r.lang for r in out) >= 0.95 * len(out)
+    assert sum(r.accepted for r in out) >= 0.97 * len(out)
+
+
+def test_language_presence_equals_sets():
+    texts = ["Ab c", "", "ééa 12 b", "zzzz"]
+    body, offsets = K.raw_text(pa.array([t.lower() for t in texts]))
+    got = language_id.presence(body, offsets, (1, 2), 0, len(texts))
+    for i, t in enumerate(texts):
+        raw = bytes(language_id._LETTER[np.frombuffer(t.lower().encode(), np.uint8)]) if t else b""
+        grams = {raw[k : k + n] for n in (1, 2) for k in range(len(raw) - n + 1)} - {b" ", b"  "}
+        assert 0.9 * len(grams) <= got[i].sum() <= len(grams)  # hashes may meet
+
+
+def test_language_edges(spark):
+    df = clashing(spark.createDataFrame([(*r, "en") for r in EDGE], DOCS + ", lang string"))
+    model = language_id.train(spark.read.parquet(f"{DATA}/documents.parquet"))
+    out = language_id.identify(df, model)
+    assert out.columns[: len(df.columns)] == df.columns and len(set(out.columns)) == len(df.columns) + 3
+    got = out.collect()
+    assert len(got) == len(EDGE) and all(not r.accepted_ if "accepted_" in out.columns else not r.accepted for r in got if r.doc_id in (1, 2, 3, 4))
+    assert language_id.train(df.limit(0)) is None and language_id.identify(df, None, only_accepted=True).count() == 0
+
+
+# 5
+
+
+def test_quotation_links(spark):
+    m = [
+        (1, 0, "a", "How do I open the box?\nIt is locked."),
+        (1, 1, "b", "On Monday a wrote:\n> How do I open  the box?\nUse a key."),
+        (1, 2, "c", "> It is locked.\nBreak it."),
+        (1, 3, "a", ">> How do I open the box?\n> Use a key.\nThanks!"),
+        (1, 4, "d", "> never said\nhm"),
+        (1, 4, "e", "a repeated turn"),
+        (2, 0, None, None),
+        (None, 0, "x", "y"),
+    ]
+    df = spark.createDataFrame(m, "conv_id bigint, turn bigint, role string, text string").withColumn("conv", F.lit(1))
+    got = {(r.conv_id, r.turn): (r.position, r.parent_turn, r.depth, r.text) for r in quotation_links.link_conversations(df).collect()}
+    assert got == {
+        (1, 0): (0, 0, 0, "How do I open the box?\nIt is locked."), (1, 1): (1, 0, 1, "Use a key."), (1, 3): (2, 1, 2, "Thanks!"),
+        (1, 2): (3, 0, 1, "Break it."), (1, 4): (4, 4, 0, "hm"), (2, 0): (0, 0, 0, ""),
+    }
+    assert quotation_links.link_conversations(df.limit(0)).count() == 0
+
+
+# 6
+
+
+def test_loser_tree_merges():
+    rng = random.Random(6)
+    for k in (0, 1, 2, 3, 7, 16):
+        runs = [sorted(rng.randrange(50) for _ in range(rng.randrange(20))) for _ in range(k)]
+        assert [runs[r][i] for r, i in capture_merge.LoserTree(runs)] == sorted(x for r in runs for x in r)
+
+
+def test_capture_histories(spark):
+    rng = random.Random(7)
+    m = [(i, f"http://h{rng.randrange(5)}.example.com/p{rng.randrange(3)}", rng.choice(["a", "b", None]), rng.randrange(40)) for i in range(500)]
+    m += [(None, "http://a.b/", "x", 1), (900, None, "x", 1), (901, "nohost", "x", 1)]
+    df = spark.createDataFrame(m, "page_id bigint, url string, html string, when bigint")
+    got = capture_merge.capture_histories(df, F.col("when"), rows_per_part=50).orderBy("position").collect()
+    key = lambda u: ",".join(reversed(u.split("/")[2].split("."))) + ")/" + u.split("/", 3)[3]
+    want = sorted((key(u), t, i, h) for i, u, h, t in m[:500])
+    assert [(r.url_key, r.ts, r.page_id) for r in got] == [w[:3] for w in want] and [r.position for r in got] == list(range(500))
+    seen, last = Counter(), {}
+    for r, (k, _, _, h) in zip(got, want, strict=True):
+        seen[k] += 1
+        assert r.capture_no == seen[k] and r.revisit == (h is not None and last.get(k, "?") == h)
+        last[k] = h
+    assert capture_merge.capture_histories(df.limit(0), F.col("when")).count() == 0
+
+
+# 7
+
+
+def test_topk_equals_brute_force(spark):
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(300, 16)).astype(np.float32)
+    v[50:60] = v[0]  # ties
+    m = [(i, x.tolist()) for i, x in enumerate(v)] + [(None, v[0].tolist()), (400, None), (401, [0.0] * 16), (402, [1.0]), (403, [float("nan")] * 16)]
+    df = clashing(spark.createDataFrame(m, "vec_id bigint, embedding array<float>"))
+    u = v.astype(np.float64) / np.linalg.norm(v.astype(np.float64), axis=1, keepdims=True)
+    s = np.round(u @ u.T, 6)
+    want = sorted((q, k + 1, int(i)) for q in range(300) for k, i in enumerate(sorted((i for i in range(300) if i != q), key=lambda i: (-s[q, i], i))[:10]))
+    for blocks in ((4096, 16384), (100, 70)):
+        got = topk_nra.top_k(df, query_block=blocks[0], data_block=blocks[1]).collect()
+        assert sorted((r.query_id, r.rank, r.neighbor_id) for r in got) == want
+    assert topk_nra.top_k(df.limit(0)).count() == 0
+
+
+def test_nra_stops_early():
+    rng = np.random.default_rng(9)
+    centre = rng.normal(size=(10, 8))
+    v = np.concatenate([c + 0.05 * rng.normal(size=(200, 8)) for c in centre])
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    read = []
+    topk_nra.nra(v, np.arange(2000), v, np.arange(2000), topk_nra._Best(2000, 10), (0.5, 0.7, 0.85), read)
+    assert sum(read) < 0.9 * 2000 * 2000
+
+
+# 8
+
+
+def plain_bfd(sizes, capacity):
+    """Best-fit decreasing one document at a time; ties go to the least bin."""
+    gaps, out = [], []
+    for size, ident in sorted(((s, i) for i, s in sizes), key=lambda x: (-x[0], x[1])):
+        fit = min(((g, b) for b, g in enumerate(gaps) if g >= size), default=None)
+        b = len(gaps) if fit is None else fit[1]
+        if fit is None:
+            gaps.append(capacity)
+        out.append((b, capacity - gaps[b], ident))
+        gaps[b] -= size
+    return sorted(out), len(gaps)
+
+
+def test_packing_equals_best_fit_decreasing(spark):
+    rng = random.Random(10)
+    docs = [(i, words(rng, rng.choice([1, 2, 5, 9, 20, 33, 50, 64, 100, 130]))) for i in range(200)]
+    want, bins = plain_bfd([(i, len(t.split()) % 64) for i, t in docs if len(t.split()) % 64], 64)
+    got = best_fit.pack(spark.createDataFrame(docs, DOCS), 64, with_text=True).collect()
+    assert sorted((r.bin_id, r.position, r.doc_id) for r in got if r.bin_id < bins) == want
+    full = sorted(r.bin_id for r in got if r.bin_id >= bins)
+    assert full == list(range(bins, bins + len(full))) and len(full) == sum(len(t.split()) // 64 for _, t in docs)
+    whole = defaultdict(list)
+    for r in sorted(got, key=lambda r: (r.doc_id, r.piece)):
+        assert len(r.text.split()) == r.n_tokens and r.start == 64 * r.piece
+        whole[r.doc_id].append(r.text)
+    assert {d: "".join(t) for d, t in whole.items()} == dict(docs)
+
+
+def test_packing_edges(spark):
+    df = clashing(spark.createDataFrame(EDGE, DOCS))
+    got = best_fit.pack(df, 8, with_text=True).collect()
+    assert Counter(r.doc_id for r in got) == Counter({None: 1, 4: 1, 5: 1, 6: 2})
+    used = defaultdict(int)
+    for r in got:
+        used[r.bin_id] += r.n_tokens
+    assert sorted(used.values()) == [3, 8] and best_fit.pack(df.limit(0)).count() == 0
+
+
+# 9
+
+
+def copies_fixture():
+    rng = random.Random(11)
+    docs, groups = [], []
+    for g in range(30):
+        base = words(rng, rng.randrange(60, 300)).split()
+        own = []
+        for c in range(rng.choice([1, 2, 3, 8])):
+            w = list(base)
+            if c:
+                for _ in range(len(w) // 50):
+                    w[rng.randrange(len(w))] = "edit"
+            own.append(len(docs))
+            docs.append((len(docs), " ".join(w)))
+        groups.append(own)
+    same = words(rng, 100)
+    groups.append(list(range(len(docs), len(docs) + 500)))
+    docs += [(len(docs) + k, same) for k in range(500)]
+    return docs, groups
+
+
+def test_near_duplicates_find_groups(spark):
+    docs, groups = copies_fixture()
+    got = {r.doc_id: r.rep_id for r in simhash_forest.near_duplicates(spark.createDataFrame(docs, DOCS)).collect()}
+    want = {d: g[0] for g in groups for d in g[1:]}
+    assert sum(got.get(d) == r for d, r in want.items()) >= 0.95 * len(want)
+    assert all(want.get(d) == r for d, r in got.items())
+
+
+def test_forest_recall_against_all_pairs(spark):
+    rng = np.random.default_rng(12)
+    sig = rng.integers(0, 1 << 63, 1500, dtype=np.uint64)
+    for k in range(700):
+        flips = rng.permutation(64)[: rng.integers(0, 13)]
+        sig[800 + k] = sig[k] ^ np.bitwise_or.reduce(np.uint64(1) << flips.astype(np.uint64), initial=np.uint64(0))
+    df = spark.createDataFrame([(i, int(s)) for i, s in enumerate(sig.view(np.int64))], "id bigint, sig bigint")
+    got = {(r.a, r.b) for r in simhash_forest.forest_pairs(df, 1500, 12, 12, 0.95).collect()}
+    far = np.bitwise_count(sig[:, None] ^ sig[None, :])
+    want = {(int(i), int(j)) for i, j in zip(*np.nonzero(far <= 12), strict=True) if i < j}
+    assert got <= want and len(got) >= 0.93 * len(want)
+
+
+def test_near_duplicates_edges(spark):
+    df = clashing(spark.createDataFrame(EDGE, DOCS))
+    assert rows(simhash_forest.near_duplicates(df)) == [(6, 5)]
+    kept = simhash_forest.drop_near_duplicates(df)
+    assert kept.columns == df.columns and kept.count() == len(EDGE) - 2
+    assert simhash_forest.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 7), (None, 3)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(chain, "u bigint, v bigint")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+# 10
+
+
+def test_url_rules_equal_brute_force(spark):
+    rng = random.Random(13)
+    pages = [(i, f"https://{rng.choice(['a', 'b.a', 'www.c', 'é'])}.example.com/{'/'.join(rng.choice('xy') for _ in range(rng.randrange(4)))}") for i in range(400)]
+    rules = [(p, a) for p, a in [("", "allow"), ("com,", "block"), ("com,example,a)", "allow"), ("com,example,a)/x", "block"), ("com,example,a)/x/y", "allow"), ("com,example,a)/x", "drop"), ("org,", "block"), (None, "block"), ("com,example,é)", None)]]
+    keys = {r.page_id: r.key for r in spark.createDataFrame(pages, "page_id bigint, url string").select("page_id", url_rules.url_key(F.col("url")).alias("key")).collect()}
+    df = spark.createDataFrame([*pages, (None, None), (900, "nohost"), (1, pages[1][1])], "page_id bigint, url string").withColumn("key", F.lit(1)).withColumn("action", F.lit(2))
+    got = url_rules.match_rules(df, spark.createDataFrame(rules, "prefix string, action string")).collect()
+    assert len(got) == 403
+    for r in got:
+        k = keys.get(r.page_id)
+        own = [(p, a) for p, a in rules if k is not None and p is not None and k.startswith(p)]
+        best = max(own, key=lambda x: (len(x[0]), x[1] or ""), default=(None, "allow"))
+        assert (r.url_key, r.n_rules, r.rule, r.action) == (k, len(own), *best)
+    assert url_rules.match_rules(df.limit(0), spark.createDataFrame(rules, "prefix string, action string")).count() == 0
+
+
+# The registered queries and the pipeline
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("pages", "conversations", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
+    df = registry.QUERIES[name](spark, DATA)
+    want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({registry.ORACLE_SQL[name]})").fetchall()
+    assert rows(df) == sorted(want, key=repr)
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "simhash_near_dedup", "substring_dedup", "benchmark_decontamination", "best_fit_packing"]
+    have = docs
+    kept = []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.materialize(stage(spark, have, DATA))
+        assert out.columns == docs.columns and out.schema == docs.schema
+        ids = {r.doc_id for r in out.select("doc_id").collect()}
+        assert ids <= {r.doc_id for r in have.select("doc_id").collect()}
+        kept.append((have, out, ids))
+        have = out
+    before, _, ids = kept[1]
+    gone = {r.doc_id for r in simhash_forest.near_duplicates(before).collect()}
+    assert ids == {r.doc_id for r in before.collect()} - gone
+    before, after, _ = kept[2]
+    texts = [(r.doc_id, r.text) for r in before.collect()]
+    cut = defaultdict(list)
+    for d, a, n, *_ in brute_repeats(texts):
+        cut[d].append((a, n))
+    want = {}
+    for d, t in texts:
+        raw = t.encode()
+        for a, n in sorted(cut[d], reverse=True):
+            raw = raw[:a] + raw[a + n :]
+        if not cut[d] or raw.strip():
+            want[d] = raw.decode()
+    assert {r.doc_id: r.text for r in after.collect()} == want
+    packed = corpus_pipeline.run(spark, DATA).collect()
+    assert {r.doc_id for r in packed} == {r.doc_id for r in have.collect() if r.text.split()}
+    used = Counter()
+    for r in packed:
+        used[r.bin_id] += r.n_tokens
+    assert max(used.values()) <= 2048 and sum(used.values()) == sum(len(r.text.split()) for r in have.collect())
