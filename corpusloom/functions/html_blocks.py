@@ -241,9 +241,7 @@ def wiki_blocks_tree(html: str) -> list[dict[str, Any]]:
     Furniture (by tag and class) is left out with all below it. Without any block, the content's whole text is one.
     """
     doc = parse(html)
-    root = _wiki_root(doc)
-    if root is None:
-        return []
+    root = _wiki_root(doc) or doc  # a page without a body tag is all body
     found = []
     for n in root.walk():
         kind = "heading" if n.tag in HEADINGS else _WIKI_KINDS.get(n.tag)

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ..storage import new_path
 
@@ -50,7 +51,7 @@ def rate_limit(requests: DataFrame, per_minute: float, burst: float, key_col: st
 
     Requests of a key go in the order of their time. Rows of one time are alike.
     """
-    schema = requests.schema.add("allowed", "boolean")
+    schema = StructType([*requests.schema.fields, StructField("allowed", BooleanType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(ts_col, kind="stable")
