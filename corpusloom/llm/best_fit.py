@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +80,23 @@ def plan_bins(count: dict[int, int], capacity: int) -> tuple[np.ndarray, int]:
     return np.array(rows, np.int64).reshape(-1, 5), bins
 
 
+def _small(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """b in slices of about K.SLICE_BYTES of text; as it is where it has no text."""
+    if "text" not in b.schema.names:
+        yield b
+    else:
+        for i, j, _, _ in K.slices(b.column("text"), lower=False):
+            yield b.slice(i, j - i)
+
+
+def _split(text: str, capacity: int) -> list[str]:
+    """text cut before every capacity-th word; together the pieces are the text."""
+    raw = text.encode()
+    heads = np.flatnonzero(_word_heads(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])))
+    cuts = [0, *heads[capacity::capacity].tolist(), len(raw)]
+    return [raw[x:y].decode() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 def pack(docs: DataFrame, capacity: int = 2048, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(bin_id, position, doc_id, piece, start, n_tokens[, text]): every word of docs in a sequence of capacity words at most.
 
@@ -146,7 +164,7 @@ def pack(docs: DataFrame, capacity: int = 2048, with_text: bool = False, id_col:
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan, plan_key, run_at, full_at = shared.value
-        for b in batches:
+        for b in chain.from_iterable(_small(b) for b in batches):
             if not b.num_rows:
                 continue
             size, full, part, run, before = (b.column(c).to_numpy() for c in ("size", "full", "part", "run", "before"))
@@ -172,19 +190,10 @@ def pack(docs: DataFrame, capacity: int = 2048, with_text: bool = False, id_col:
             cols = [pa.array(bin_id), pa.array(position), b.column("id").take(pa.array(doc)), pa.array(piece), pa.array(piece * capacity), pa.array(n)]
             names = ["bin_id", "position", "doc_id", "piece", "start", "n_tokens"]
             if with_text:
-                text = b.column("text").take(pa.array(doc))
-                many = np.flatnonzero(pieces[doc] > 1)
-                if len(many):
-                    values = text.to_pylist()
-                    last, cuts, raw = -1, None, b""
-                    for i in many.tolist():
-                        if doc[i] != last:
-                            last = doc[i]
-                            raw = values[i].encode()
-                            heads = np.flatnonzero(_word_heads(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])))
-                            cuts = [0, *heads[capacity::capacity].tolist(), len(raw)]
-                        values[i] = raw[cuts[piece[i]] : cuts[piece[i] + 1]].decode()
-                    text = pa.array(values, pa.string())
+                values: list[str] = []
+                for raw, parts in zip(b.column("text").to_pylist(), pieces.tolist(), strict=True):
+                    values += [raw] if parts == 1 else _split(raw, capacity)
+                text = pa.array(values, pa.string())
                 cols.append(text)
                 names.append("text")
             yield pa.RecordBatch.from_arrays(cols, names)
