@@ -83,21 +83,33 @@ def lexical_simple(queries: DataFrame, docs: DataFrame, n: int = LEXICAL, max_br
     """(query_id, id, lexical_score, rank): documents (id, text) that hold every distinct token of a query (query_id, query).
 
     Tokens are lower-case runs of letters and digits. lexical_score is the share of the document's tokens that are the query's,
-    rounded to six digits; ties go to the lesser id. A query without tokens matches nothing. The query tokens go to every task
-    if they are small enough, else they are joined by a shuffle.
+    rounded to six digits; ties go to the lesser id. A query without tokens matches nothing. Only documents that hold
+    a query's rarest token are looked at. Rows that repeat an id are documents of their own. The query tokens go to every task if they are small enough, else they are joined by a
+    shuffle.
     """
     asked = queries.where("query_id is not null").select("query_id", F.array_distinct(simple_tokens(F.col("query"))).alias("tokens"))
-    terms = asked.select("query_id", F.size("tokens").alias("wanted"), F.explode("tokens").alias("token"))
+    terms = asked.select("query_id", F.explode("tokens").alias("token"))
     size = terms.agg(F.coalesce(F.sum(F.octet_length("token") + 16), F.lit(0))).first()[0]
-    if size <= max_broadcast_bytes:
-        terms = F.broadcast(terms)
-    words = docs.where("id is not null").select("id", simple_tokens(F.col("text")).alias("all")).select("id", F.size("all").alias("n_tokens"), F.explode("all").alias("word"))
-    counted = words.groupBy("id", "n_tokens", "word").agg(F.count("*").alias("tf")) if size > max_broadcast_bytes else words.withColumn("tf", F.lit(1))
-    hits = counted.join(terms, F.col("word") == F.col("token")).groupBy("query_id", "id", "n_tokens", "wanted").agg(F.count_distinct("token").alias("had"), F.sum("tf").alias("tf"))
-    scored = hits.where("had = wanted").select("query_id", "id", F.round(F.col("tf") / F.col("n_tokens"), 6).alias("lexical_score"))
+    small = (lambda df: F.broadcast(df)) if size <= max_broadcast_bytes else (lambda df: df)
+    words = docs.where("id is not null").select("id", F.explode(F.array_distinct(simple_tokens(F.col("text")))).alias("word"))
+    freq = words.join(small(terms.select("token").distinct()), F.col("word") == F.col("token"), "left_semi").groupBy("word").agg(F.count("*").alias("df"))
+    candidates = words.join(small(_rarest(terms, freq)), F.col("word") == F.col("rare")).select("query_id", F.col("id").alias("c_id")).distinct()
+    texts = docs.select("id", simple_tokens(F.col("text")).alias("all"))
+    pairs = candidates.join(texts, F.col("c_id") == F.col("id")).join(small(asked), "query_id").where(F.size(F.array_except("tokens", "all")) == 0)
+    tf = F.size(F.filter("all", lambda w: F.array_contains("tokens", w)))
+    scored = pairs.select("query_id", "id", F.round(tf / F.size("all"), 6).alias("lexical_score"))
     return _top(scored, "query_id", [F.desc("lexical_score"), F.asc("id")], n)
 
 
+def _rarest(terms: DataFrame, freq: DataFrame) -> DataFrame:
+    """(query_id, rare): of each query's terms (query_id, token) the one of the least document frequency (word, df).
+
+    A match must hold every term, so it is among the documents of that one: joins meet few rows where common terms meet most.
+    """
+    known = terms.join(freq, F.col("token") == F.col("word"), "left")
+    return known.groupBy("query_id").agg(F.min_by("token", F.struct(F.coalesce("df", F.lit(0)), "token")).alias("rare"))
+
+
 _WORD = re.compile(r"[^\W_]+", re.UNICODE)
 
 
@@ -162,7 +174,11 @@ def lexical_english(queries: DataFrame, index: DataFrame, n: int = LEXICAL) -> D
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.round(scores, 6))], ["query_id", "id", "lexical_score"])
 
     asked = queries.where("query_id is not null").select(F.col("query_id").cast("bigint"), F.col("query").cast("string")).mapInArrow(lexemes, "query_id bigint, wanted int, q_lexeme string")
-    hits = index.join(asked, F.col("lexeme") == F.col("q_lexeme")).groupBy("query_id", "id", "wanted").agg(F.collect_list("positions").alias("positions"))
+    terms = asked.select("query_id", F.col("q_lexeme").alias("token"))
+    freq = index.join(terms.select("token").distinct(), F.col("lexeme") == F.col("token"), "left_semi").groupBy(F.col("lexeme").alias("word")).agg(F.count("*").alias("df"))
+    candidates = index.join(_rarest(terms, freq), F.col("lexeme") == F.col("rare")).select("query_id", F.col("id").alias("c_id")).distinct()
+    own = candidates.join(asked, "query_id")  # every lexeme that a candidate must hold
+    hits = index.join(own, (F.col("lexeme") == F.col("q_lexeme")) & (F.col("id") == F.col("c_id"))).groupBy("query_id", "id", "wanted").agg(F.collect_list("positions").alias("positions"))
     scored = hits.where(F.size("positions") == F.col("wanted")).select("query_id", "id", "positions").mapInArrow(score, "query_id bigint, id bigint, lexical_score double")
     return _top(scored, "query_id", [F.desc("lexical_score"), F.asc("id")], n)
 

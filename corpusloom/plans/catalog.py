@@ -259,7 +259,7 @@ def lexical_simple_topk(spark, d):
 
 @query()
 def lexical_english_topk(spark, d):
-    return retrieval.lexical_english(_questions(spark, d), retrieval.postings(_docs(spark, d)))
+    return retrieval.lexical_english(_questions(spark, d), materialize(retrieval.postings(_docs(spark, d))))
 
 
 def _item_vectors(spark, d):
