@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment."""
+"""Benchmark decontamination: n-gram seeds, an exact bound on common words, then Smith-Waterman alignment."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
@@ -90,8 +90,11 @@ def _hits(batches: Iterator[pa.RecordBatch], seeds: np.ndarray, sizes: list[int]
                 yield b.column(0), i, h, row, at, g
 
 
-def _score_row(h: np.ndarray, lo: int, hi: int, at: np.ndarray, item: np.ndarray, offset: np.ndarray) -> int:
-    """Best alignment of an item with the passages around its seeds at words at (seed offsets offset) of one document [lo, hi)."""
+def _score_row(h: np.ndarray, lo: int, hi: int, at: np.ndarray, item: np.ndarray, offset: np.ndarray, min_score: float) -> float:
+    """Best alignment of an item with the passages around its seeds at words at (seed offsets offset) of one document [lo, hi).
+
+    The score is over that of the whole item. A passage that holds too few of the item's words to reach min_score is not aligned.
+    """
     m = len(item)
     slack = m // 2 + 2
     a = np.maximum(lo, at - offset - slack)
@@ -102,15 +105,16 @@ def _score_row(h: np.ndarray, lo: int, hi: int, at: np.ndarray, item: np.ndarray
     cut = np.flatnonzero(a[1:] > top[:-1]) + 1
     best = 0
     for x, y in zip(a[np.concatenate([[0], cut]).astype(int)], top[np.concatenate([cut - 1, [len(a) - 1]]).astype(int)], strict=True):
-        best = max(best, align(item, h[int(x) : int(y)]))
-    return best
+        passage = h[int(x) : int(y)]
+        if np.isin(item, passage).sum() / m >= min_score:
+            best = max(best, align(item, passage))
+    return best / (MATCH * m)
 
 
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
     n: int = 3,
-    rare_fraction: float = 1e-5,
     min_score: float = 0.5,
     max_broadcast_bytes: int = 64 << 20,
     id_col: str = "doc_id",
@@ -120,11 +124,11 @@ def contamination(
 ) -> DataFrame:
     """(doc_id, item_id, score): documents that hold a copy of a benchmark item, exact, edited or paraphrased in part.
 
-    Seeds are the items' word n-grams. A count over the whole corpus gives each seed's document frequency; a seed is rare if
-    that is at most max(rare_fraction of the documents, twice the median over its item's seeds): half of an item's seeds stay
-    at least, however often the item leaked. Documents that hold a rare seed are joined to its items, and the words around the
-    seeds are aligned with the item (Smith-Waterman on words: match 2, mismatch and gap -1). score is the alignment score over
-    that of the whole item; pairs of min_score or more are told. Case and punctuation do not count.
+    Seeds are the items' word n-grams, all of them: one that is common may be the only one left of an item that leaked edited,
+    and how often a seed stands in the corpus does not tell a common phrase from an item that leaked often. Where a document
+    holds a seed, the words around are aligned with the item (Smith-Waterman on words: match 2, mismatch and gap -1), unless
+    they hold too few of the item's words to reach min_score in any order. score is the alignment score over that of the whole
+    item; pairs of min_score or more are told. Case and punctuation do not count.
 
     The benchmark is sent to all tasks if its texts are of max_broadcast_bytes at most. Beyond that the seeds are a table:
     documents' n-grams are joined to it by a shuffle. Both ways give the same rows.
@@ -136,21 +140,13 @@ def contamination(
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     picked = _pick(docs, id_col, text_col)
     if size <= max_broadcast_bytes:
-        found = _by_broadcast(picked, items, n, rare_fraction, min_score)
+        found = _by_broadcast(picked, items, n, min_score)
     else:
-        found = _by_join(picked, items, n, rare_fraction, min_score)
+        found = _by_join(picked, items, n, min_score)
     return found.groupBy("id", "item").agg(F.max("score").alias("score")).select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "score")
 
 
-def _rare(df_of: np.ndarray, item: np.ndarray, total: int, fraction: float) -> np.ndarray:
-    keep = np.zeros(len(item), bool)
-    for k in np.unique(item):
-        m = np.flatnonzero(item == k)
-        keep[m] = df_of[m] <= max(fraction * total, 2 * float(np.median(df_of[m])))
-    return keep
-
-
-def _by_broadcast(picked: DataFrame, items: DataFrame, n: int, fraction: float, min_score: float) -> DataFrame:
+def _by_broadcast(picked: DataFrame, items: DataFrame, n: int, min_score: float) -> DataFrame:
     spark = picked.sparkSession
     rows = items.collect()
     known = _Items([r[0] for r in rows], [r[1] for r in rows], n)
@@ -159,40 +155,13 @@ def _by_broadcast(picked: DataFrame, items: DataFrame, n: int, fraction: float,
     if not len(seed):
         return empty
     sizes = sorted(set(width.tolist()))
-    unique = np.unique(seed)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(unique), np.int64)
-        docs = 0
-
-        def counted(it):
-            nonlocal docs
-            for b in it:
-                docs += b.num_rows
-                yield b
-
-        for _, _, _, row, at, g in _hits(counted(batches), unique, sizes):
-            pair = np.unique(np.stack([row[at], np.searchsorted(unique, g)]), axis=1)
-            total += np.bincount(pair[1], minlength=len(unique))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], some])), pa.array(np.concatenate([[docs], total[some]]))], ["seed", "n"])
-
-    freq = np.zeros(len(unique), np.int64)
-    total = 0
-    for r in picked.mapInArrow(count, "seed bigint, n bigint").groupBy("seed").agg(F.sum("n").alias("n")).toLocalIterator():
-        if r["seed"] < 0:
-            total = r["n"]
-        else:
-            freq[r["seed"]] = r["n"]
-    keep = _rare(freq[np.searchsorted(unique, seed)], item, total, fraction)
-    seed, item, offset = seed[keep], item[keep], offset[keep]
     order = np.argsort(seed, kind="stable")
     seed, item, offset = seed[order], item[order], offset[order]
-    rare = np.unique(seed)
+    unique = np.unique(seed)
     words, ids = known.words, np.array(known.ids, np.int64)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for col, i, h, row, at, g in _hits(batches, rare, sizes):
+        for col, i, h, row, at, g in _hits(batches, unique, sizes):
             a, b = np.searchsorted(seed, g, "left"), np.searchsorted(seed, g, "right")
             times = b - a
             hit = np.repeat(np.arange(len(g)), times)
@@ -205,7 +174,7 @@ def _by_broadcast(picked: DataFrame, items: DataFrame, n: int, fraction: float,
             for x, y in zip([0, *cuts], [*cuts, len(key)], strict=True):
                 r, k = divmod(int(key[x]), len(ids))
                 lo, hi = np.searchsorted(row, [r, r + 1])
-                s = _score_row(h, int(lo), int(hi), at[hit[x:y]], words[k], offset[which[x:y]]) / (MATCH * len(words[k]))
+                s = _score_row(h, int(lo), int(hi), at[hit[x:y]], words[k], offset[which[x:y]], min_score)
                 if s >= min_score:
                     out.append((col[i + r].as_py(), int(ids[k]), s))
             if out:
@@ -214,8 +183,8 @@ def _by_broadcast(picked: DataFrame, items: DataFrame, n: int, fraction: float,
     return picked.mapInArrow(score, "id bigint, item bigint, score double")
 
 
-def _by_join(picked: DataFrame, items: DataFrame, n: int, fraction: float, min_score: float) -> DataFrame:
-    """The same for a benchmark of any size: seeds, frequencies and words are tables, joined by shuffles."""
+def _by_join(picked: DataFrame, items: DataFrame, n: int, min_score: float) -> DataFrame:
+    """The same for a benchmark of any size: seeds and words are tables, joined by shuffles."""
     spark = picked.sparkSession
 
     def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,33 +213,25 @@ def _by_join(picked: DataFrame, items: DataFrame, n: int, fraction: float, min_s
                     pair = np.unique(np.stack([g, row[at].astype(np.uint64)]), axis=1)
                     yield pa.RecordBatch.from_arrays([pa.array(pair[0].view(np.int64)), b.column(0).take(pa.array(i + pair[1].astype(np.int64)))], ["gram", "id"])
 
-    total = picked.count()
     grams = picked.mapInArrow(doc_grams, "gram bigint, id bigint")
     known = seeds.select("seed").distinct()
     hits = grams.join(known, grams.gram == known.seed, "left_semi")
-    freq = hits.groupBy("gram").agg(F.count("*").alias("df"))
-    with_df = seeds.join(freq, seeds.seed == freq.gram, "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    per_item = Window.partitionBy("item", "text")
-    rare = with_df.withColumn("m", F.percentile("df", 0.5).over(per_item)).where(F.col("df") <= F.greatest(F.lit(fraction * total), 2 * F.col("m"))).select("seed", "item").distinct()
-    pairs = hits.join(rare, hits.gram == rare.seed).select("id", "item").distinct()
-    rare_seeds = rare.groupBy("item").agg(F.collect_list("seed").alias("rare"))
-    full = pairs.join(picked, "id").join(items.distinct().join(rare_seeds, "item").withColumnRenamed("text", "item_text"), "item")
+    pairs = hits.join(seeds.select("seed", "item").distinct(), hits.gram == F.col("seed")).select("id", "item").distinct()
+    full = pairs.join(picked, "id").join(items.distinct().withColumnRenamed("text", "item_text"), "item")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for ident, item, text, item_text, rare_list in zip(*(b.column(c).to_pylist() for c in ("id", "item", "text", "item_text", "rare")), strict=True):
+            for ident, item, text, item_text in zip(*(b.column(c).to_pylist() for c in ("id", "item", "text", "item_text")), strict=True):
                 known = _Items([item], [item_text], n)
                 seed, width, _, offset = known.seeds()
-                keep = np.isin(seed, np.array(rare_list, np.int64).view(np.uint64))
-                seed, offset = seed[keep], offset[keep]
                 h = K.word_hashes(text)
                 if not len(seed):
                     continue
                 g, at = K.ngram_hash(h, np.zeros(len(h), np.int64), int(width[0]))
                 i, j = np.nonzero(g[:, None] == seed[None, :]) if len(g) * len(seed) < 1 << 24 else _equal(g, seed)
                 if len(i):
-                    s = _score_row(h, 0, len(h), at[i], known.words[0], offset[j]) / (MATCH * len(known.words[0]))
+                    s = _score_row(h, 0, len(h), at[i], known.words[0], offset[j], min_score)
                     if s >= min_score:
                         out.append((ident, item, s))
             if out:

@@ -77,6 +77,23 @@ def test_decontamination_equals_brute_force_both_ways(spark):
             assert r.score == pytest.approx(plain_score(dict(items)[r.item_id], dict(docs)[r.doc_id]), abs=1e-9)
 
 
+def test_items_that_leaked_only_in_edited_copies_are_found(spark):
+    rng = random.Random(21)
+    items = [(i, words(rng, 40)) for i in range(3)]
+    edited = []
+    for _, t in items:
+        v = t.split()
+        v[4::5] = ["edited"] * len(v[4::5])  # 16 of 38 trigrams stay
+        edited.append(" ".join(v))
+    docs = [(i, words(rng, 60)) for i in range(40)] + [(100, f"{words(rng, 30)} {edited[0]} {words(rng, 30)}"), (101, " ".join(items[2][1].split()[:24]))]
+    docs += [(200 + k, f"{words(rng, 10)} {edited[1]} {words(rng, 10)}") for k in range(100)]
+    want = {(d, i) for d, t in docs for i, x in items if plain_score(x, t) >= 0.5}
+    assert want == {(100, 0), (101, 2), *((200 + k, 1) for k in range(100))}
+    d, b = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id bigint, text string")
+    for limit in (1 << 20, 0):
+        assert {(r.doc_id, r.item_id) for r in decontaminate.contamination(d, b, max_broadcast_bytes=limit).collect()} == want
+
+
 def test_decontamination_edges(spark):
     items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon"), (1, "alpha beta gamma delta epsilon"), (2, None), (None, "alpha beta"), (3, "..")], "item_id bigint, text string")
     docs = clashing(spark.createDataFrame([*EDGE, (9, "x ALPHA, beta gamma; delta epsilon y")], DOCS))
