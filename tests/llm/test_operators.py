@@ -1,5 +1,6 @@
 """The ten operators and the pipeline against brute force, and their edge cases."""
 
+import base64
 import random
 from collections import Counter, defaultdict
 
@@ -231,6 +232,27 @@ def test_language_on_held_out_rows(spark):
     assert sum(r.accepted for r in out) >= 0.97 * len(out)
 
 
+def test_language_rejects_what_it_has_not_seen_and_keeps_the_rest(spark):
+    d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = language_id.train(d.where("doc_id % 4 <> 0"))
+    held = language_id.identify(d.where("doc_id % 4 = 0"), model).select("accepted").collect()
+    assert len(held) >= 2000 and sum(r.accepted for r in held) >= 0.99 * len(held)
+    rng = random.Random(22)
+    spell = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    strange = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+        "static int foo(struct bar *b, size_t n) { for (size_t i = 0; i < n; i++) { if (b[i].next == NULL) return -1; memcpy(dst, src, 8); } return 0; }",
+        *(spell("abcdefghijklmnopqrstuvwxyz", n) for n in (20, 60, 2000)),
+        *(spell("bcdfghjklmnpqrstvwxz", n) for n in (20, 60, 2000)),
+        *(base64.b64encode(rng.randbytes(n)).decode() for n in (60, 3000)),
+        *(rng.randbytes(n).hex() for n in (60, 3000)),
+    ]
+    out = language_id.identify(spark.createDataFrame(list(enumerate(strange)), DOCS), model).collect()
+    assert [r.doc_id for r in out if r.accepted or r.language != "und"] == []
+
+
 def test_language_presence_equals_sets():
     texts = ["Ab c", "", "ééa 12 b", "zzzz"]
     body, offsets = K.raw_text(pa.array([t.lower() for t in texts]))
