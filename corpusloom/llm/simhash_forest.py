@@ -182,7 +182,7 @@ def near_duplicates(
     docs: DataFrame,
     shingle: int = 2,
     max_hamming: int = 14,
-    target_hamming: int = 12,
+    target_hamming: int = 14,
     recall: float = 0.95,
     min_jaccard: float = 0.5,
     id_col: str = "doc_id",

@@ -1,6 +1,8 @@
 """The ten operators and the pipeline against brute force, and their edge cases."""
 
 import base64
+import inspect
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -436,6 +438,21 @@ def test_forest_recall_against_all_pairs(spark):
     assert got <= want and len(got) >= 0.93 * len(want)
 
 
+def test_forest_reaches_its_recall_at_the_farthest_pairs_of_production(spark):
+    usual = {k: p.default for k, p in inspect.signature(simhash_forest.near_duplicates).parameters.items()}
+    far, target, recall = usual["max_hamming"], usual["target_hamming"], usual["recall"]
+    for n in (60_000, 300_000, 20_000_000):
+        tries, depth = simhash_forest.forest_shape(n, target, recall)
+        assert 1 - (1 - math.comb(64 - far, depth) / math.comb(64, depth)) ** tries >= recall
+    rng = np.random.default_rng(23)
+    sig = rng.integers(0, 1 << 63, 6000, dtype=np.uint64)
+    for k in range(3000):
+        sig[3000 + k] = sig[k] ^ np.bitwise_or.reduce(np.uint64(1) << rng.permutation(64)[:far].astype(np.uint64))
+    df = spark.createDataFrame([(i, int(s)) for i, s in enumerate(sig.view(np.int64))], "id bigint, sig bigint")
+    got = {(r.a, r.b) for r in simhash_forest.forest_pairs(df, 6000, far, target, recall).collect()}
+    assert sum((k, 3000 + k) in got for k in range(3000)) >= (recall - 0.02) * 3000
+
+
 def test_near_duplicates_edges(spark):
     df = clashing(spark.createDataFrame(EDGE, DOCS))
     assert rows(simhash_forest.near_duplicates(df)) == [(6, 5)]
