@@ -2,7 +2,9 @@
 
 Texts are handled as the concatenated UTF-8 bytes of many rows, in slices of about
 ``SLICE_BYTES`` cut at row boundaries, so that memory stays level whatever the
-batch holds; one row longer than that forms a slice of its own.
+batch holds. slices() makes one row longer than that a slice of its own; pieces()
+also cuts within a row, before a word, so that a text of any length is worked on in
+level memory (a single word of over a slice is the only thing never cut).
 
 A *word* is a maximal run of ASCII letters, digits and non-ASCII bytes after
 Unicode lower-casing. A null text counts as an empty text.
@@ -90,6 +92,45 @@ def slices(col, lower: bool = True, size: int = SLICE_BYTES) -> Iterator[tuple[i
         i = j
 
 
+def pieces(col, lower: bool = True, size: int = SLICE_BYTES, marks: np.ndarray = WORD_BYTE, back: int = 0) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int]]:
+    """(first row, row after the last, bytes, offsets, byte of the row at which the piece starts).
+
+    Rows up to ``size`` bytes come as in slices(), with 0 as the last value. A longer row comes as several pieces in order, each
+    cut before a word (the first of a run of bytes in ``marks``); each after the first goes back over the last ``back`` words of the
+    one before. No piece of a long row is empty, and the words of all pieces, without those gone over again, are the row's words.
+    """
+    for i, j, body, offsets in slices(col, lower, size):
+        n = len(body)
+        if j - i > 1 or n <= 2 * size:
+            yield i, j, body, offsets, 0
+            continue
+        lo = 0
+        while lo < n:
+            hi = _word_start(body, lo + size, marks) if lo + size < n else n
+            yield i, j, body[lo:hi], np.array([0, hi - lo]), lo
+            if hi >= n:
+                break
+            nxt = hi
+            if back:
+                head = marks[body[lo:hi]]
+                head[1:] &= ~head[:-1]
+                starts = np.flatnonzero(head)
+                nxt = lo + int(starts[-back]) if len(starts) > back else hi
+            lo = nxt if nxt > lo else hi
+
+
+def _word_start(body: np.ndarray, at: int, marks: np.ndarray) -> int:
+    """The first byte from at on where a word of marks starts, or the end."""
+    step = 1 << 16
+    while at < len(body):
+        some = marks[body[max(at - 1, 0) : at + step]]
+        found = np.flatnonzero(some[1:] & ~some[:-1])
+        if len(found):
+            return at + int(found[0])
+        at += step
+    return len(body)
+
+
 def words(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, row) of each word; words never cross rows."""
     n = len(body)
@@ -147,27 +188,25 @@ def word_hashes(text: str) -> np.ndarray:
     return span_hash(prefix_hash(body), s, e)
 
 
-def simhash64(h: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
-    """Charikar signature of each row's multiset of 64-bit features; 0 where a row has none. row must be sorted."""
-    out = np.zeros(rows, np.uint64)
-    if not len(h):
-        return out
-    at, count = np.unique(row, return_counts=True)
-    bounds = np.concatenate([[0], np.cumsum(count)])
-    weights = np.uint64(1) << np.arange(63, -1, -1, dtype=np.uint64)
+def bit_counts(h: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(features with each of the 64 bits set, features) of each row, highest bit first. row must be sorted."""
+    ones, total = np.zeros((rows, 64), np.int64), np.zeros(rows, np.int64)
     step = 1 << 16
-    i = 0
-    while i < len(at):  # rows in groups of about 65536 features, for memory
-        j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + step, side="right")) - 1)
-        ones = np.zeros((j - i, 64), np.int64)
-        for a in range(bounds[i], bounds[j], step) if j == i + 1 else [bounds[i]]:
-            b = min(a + step, bounds[j]) if j == i + 1 else bounds[j]
-            bits = np.unpackbits(h[a:b].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-            if j == i + 1:
-                ones[0] += bits.sum(axis=0, dtype=np.int64)
-            else:
-                ones = np.add.reduceat(bits, bounds[i:j] - bounds[i], axis=0, dtype=np.int32)
-        major = ones * 2 > count[i:j, None]
-        out[at[i:j]] = (major * weights).sum(axis=1, dtype=np.uint64)
-        i = j
-    return out
+    for a in range(0, len(h), step):  # features in groups of 65536, for memory
+        r = row[a : a + step]
+        bits = np.unpackbits(h[a : a + step].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+        head = np.flatnonzero(np.diff(r, prepend=-1))
+        ones[r[head]] += np.add.reduceat(bits, head, axis=0, dtype=np.int64)
+        total[r[head]] += np.diff([*head, len(r)])
+    return ones, total
+
+
+def majority(ones: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Charikar signature: the bits that more than half of a row's features have; 0 where a row has none."""
+    weights = np.uint64(1) << np.arange(63, -1, -1, dtype=np.uint64)
+    return ((ones * 2 > total[:, None]) * weights).sum(axis=1, dtype=np.uint64)
+
+
+def simhash64(h: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """Charikar signature of each row's multiset of 64-bit features. row must be sorted."""
+    return majority(*bit_counts(h, row, rows))
