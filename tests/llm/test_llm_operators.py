@@ -332,25 +332,32 @@ def test_topk_equals_brute_force(spark):
     rng = np.random.default_rng(8)
     v = rng.normal(size=(300, 16)).astype(np.float32)
     v[50:60] = v[0]  # ties
-    m = [(i, x.tolist()) for i, x in enumerate(v)] + [(None, v[0].tolist()), (400, None), (401, [0.0] * 16), (402, [1.0]), (403, [float("nan")] * 16)]
+    m = [(i, x.tolist()) for i, x in enumerate(v)] + [(None, v[0].tolist()), (400, None), (401, [0.0] * 16), (403, [float("nan")] * 16), (404, [float("inf")] * 16), (405, [])]
+    m += [(500, [1.0] * 17), (502, [1.0]), (503, [2.0])]  # other lengths meet their like only
     df = clashing(spark.createDataFrame(m, "vec_id bigint, embedding array<float>"))
     u = v.astype(np.float64) / np.linalg.norm(v.astype(np.float64), axis=1, keepdims=True)
     s = np.round(u @ u.T, 6)
     want = sorted((q, k + 1, int(i)) for q in range(300) for k, i in enumerate(sorted((i for i in range(300) if i != q), key=lambda i: (-s[q, i], i))[:10]))
+    want += [(502, 1, 503), (503, 1, 502)]
     for blocks in ((4096, 16384), (100, 70)):
-        got = topk_nra.top_k(df, query_block=blocks[0], data_block=blocks[1]).collect()
+        got = topk_nra.top_k(df, df, query_block=blocks[0], data_block=blocks[1]).collect()
         assert sorted((r.query_id, r.rank, r.neighbor_id) for r in got) == want
-    assert topk_nra.top_k(df.limit(0)).count() == 0
+    some = topk_nra.top_k(df.where("vec_id % 7 = 0"), df, query_block=10, data_block=70).collect()
+    assert sorted((r.query_id, r.rank, r.neighbor_id) for r in some) == [w for w in want if w[0] % 7 == 0]
+    assert topk_nra.top_k(df.limit(0), df).count() == 0 and topk_nra.top_k(df, df.limit(0)).count() == 0
 
 
 def test_nra_stops_early():
     rng = np.random.default_rng(9)
-    centre = rng.normal(size=(10, 8))
-    v = np.concatenate([c + 0.05 * rng.normal(size=(200, 8)) for c in centre])
+    v = rng.normal(size=(5 * 4096, 64))  # no clusters, which is the hard case
     v /= np.linalg.norm(v, axis=1, keepdims=True)
-    read = []
-    topk_nra.nra(v, np.arange(2000), v, np.arange(2000), topk_nra._Best(2000, 10), (0.5, 0.7, 0.85), read)
-    assert sum(read) < 0.9 * 2000 * 2000
+    queries, best, read = v[::20], topk_nra._Best(1024, 10), []
+    for a in range(0, len(v), 4096):
+        topk_nra.nra(queries, np.arange(0, len(v), 20), v[a : a + 4096], np.arange(a, a + 4096), best, (0.5, 0.75), read if a else None)
+    assert sum(n for n, _ in read) < 0.2 * len(queries) * 4 * 4096
+    s = np.round(queries @ v.T, 6)
+    s[np.arange(len(queries)), np.arange(0, len(v), 20)] = -9
+    assert (best.ids == np.lexsort((np.broadcast_to(np.arange(len(v)), s.shape), -s), axis=1)[:, :10]).all()
 
 
 # 8
