@@ -106,17 +106,16 @@ def pieces(col, lower: bool = True, size: int = SLICE_BYTES, marks: np.ndarray =
             continue
         lo = 0
         while lo < n:
-            hi = _word_start(body, lo + size, marks) if lo + size < n else n
-            yield i, j, body[lo:hi], np.array([0, hi - lo]), lo
-            if hi >= n:
-                break
-            nxt = hi
-            if back:
+            hi, starts = lo, np.zeros(0, np.int64)
+            while hi < n and len(starts) <= back:  # a piece that holds no more than it goes back over gets longer
+                hi = _word_start(body, hi + size, marks) if hi + size < n else n
                 head = marks[body[lo:hi]]
                 head[1:] &= ~head[:-1]
                 starts = np.flatnonzero(head)
-                nxt = lo + int(starts[-back]) if len(starts) > back else hi
-            lo = nxt if nxt > lo else hi
+            yield i, j, body[lo:hi], np.array([0, hi - lo]), lo
+            if hi >= n:
+                break
+            lo = lo + int(starts[-back]) if back else hi
 
 
 def _word_start(body: np.ndarray, at: int, marks: np.ndarray) -> int:

@@ -4,6 +4,7 @@ import base64
 import inspect
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import duckdb
@@ -38,11 +39,43 @@ def rows(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
+# Kernels
+
+
+def test_pieces_give_every_word_once():
+    rng = random.Random(25)
+    texts = [words(rng, n) for n in (3, 0, 50, 5000, 20, 9000)] + [None, "  x ", "y" * 5000, "é " * 3000]
+    for back in (0, 3):
+        got = defaultdict(list)
+        for i, j, body, offsets, at in K.pieces(pa.array(texts), size=300, back=back):
+            s, e, row = K.words(body, offsets)
+            for a, b, r in zip(s, e, row, strict=True):
+                got[i + r].append((at + a if j - i == 1 else a - offsets[r], bytes(body[a:b])))
+        for i, t in enumerate(texts):
+            want = [(m.start(), m.group()) for m in re.finditer(rb"[a-z0-9\x80-\xff]+", (t or "").encode())]
+            assert sorted(set(got[i])) == want and (back or len(got[i]) == len(want))
+
+
+def test_signatures_equal_counts_of_bits():
+    rng = random.Random(26)
+    h = np.array([rng.getrandbits(64) for _ in range(150_000)], np.uint64)
+    row = np.sort(np.array([rng.randrange(5) for _ in range(len(h))]))
+    got = K.simhash64(h, row, 6)
+    for r in range(6):
+        own = h[row == r]
+        assert int(got[r]) == sum(1 << b for b in range(64) if 2 * int(((own >> np.uint64(b)) & np.uint64(1)).sum()) > len(own))
+
+
 # 1
 
 
+def plain_words(text):
+    """Runs of ASCII letters, digits and characters beyond ASCII, in lower case."""
+    return re.findall(r"[a-z0-9\x80-\U0010ffff]+", text.lower())
+
+
 def plain_score(item, text):
-    a, b = K.word_hashes(item).tolist(), K.word_hashes(text).tolist()
+    a, b = plain_words(item), plain_words(text)
     best, prev = 0, [0] * (len(b) + 1)
     for x in a:
         here = [0]
@@ -97,6 +130,33 @@ def test_items_that_leaked_only_in_edited_copies_are_found(spark):
         assert {(r.doc_id, r.item_id) for r in decontaminate.contamination(d, b, max_broadcast_bytes=limit).collect()} == want
 
 
+def spread(item, first=3):
+    """The item with a foreign word before each word after the first ones: gaps as far apart as they can be."""
+    w = item.split()
+    return " ".join([*w[:first], *(x for y in w[first:] for x in ("foreign", y))])
+
+
+def test_spread_edits_repeated_items_and_long_texts_equal_full_alignment_both_ways(spark):
+    rng = random.Random(24)
+    items = [(i, words(rng, m)) for i, m in enumerate((40, 60, 100, 12))]
+    items.append((0, words(rng, 30)))  # another text of item 0
+    docs = [(i, f"{words(rng, 20)} {spread(t)} {words(rng, 20)}") for i, (_, t) in enumerate(items)]
+    want = {}
+    for d, t in docs:
+        for i, x in items:
+            s = plain_score(x, t)
+            if s >= 0.5:
+                want[d, i] = max(s, want.get((d, i), 0))
+    assert set(want) == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 0)}
+    for k, n in ((50, 299_990), (51, 349_526), (52, 600_000)):  # over 2 MB, the copy near and at the ends of pieces
+        docs.append((k, f"{'seven77 ' * (n // 3)}{words(rng, n - n // 3)} {spread(items[1][1])} {words(rng, 200_000)}"))
+        want[k, 1] = want[1, 1]
+    d, b = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id bigint, text string")
+    for limit in (1 << 20, 0):
+        got = decontaminate.contamination(d, b, max_broadcast_bytes=limit).collect()
+        assert {(r.doc_id, r.item_id): r.score for r in got} == pytest.approx(want) and len(got) == len(want)
+
+
 def test_decontamination_edges(spark):
     items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon"), (1, "alpha beta gamma delta epsilon"), (2, None), (None, "alpha beta"), (3, "..")], "item_id bigint, text string")
     docs = clashing(spark.createDataFrame([*EDGE, (9, "x ALPHA, beta gamma; delta epsilon y")], DOCS))
@@ -460,9 +520,85 @@ def test_forest_reaches_its_recall_at_the_farthest_pairs_of_production(spark):
     assert sum((k, 3000 + k) in got for k in range(3000)) >= (recall - 0.02) * 3000
 
 
+MASK = (1 << 64) - 1
+
+
+def plain_mix(x):
+    """splitmix64's finaliser on whole numbers."""
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & MASK
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & MASK
+    return x ^ (x >> 31)
+
+
+def plain_hash(word):
+    base = 0x9E3779B97F4A7C15
+    return plain_mix((sum((b + 1) * pow(base, k, 1 << 64) for k, b in enumerate(word)) + len(word)) & MASK)
+
+
+def plain_signature(text):
+    """SimHash and bin minima of word pairs, one word and one bit at a time."""
+    h = [plain_hash(w.encode()) for w in plain_words(text)]
+    g = [plain_mix((a * 0xC2B2AE3D27D4EB4F + b) & MASK) for a, b in zip(h, h[1:], strict=False)] or [plain_mix(x) for x in h]
+    if not g:
+        return None
+    sig = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in g) > len(g))
+    low = [min(((x >> 20 & 0xFFFFFFF) % (255 << 24) for x in g if x >> 57 == k), default=None) for k in range(128)]
+    return sig, tuple(255 if x is None else x % 255 for x in low)
+
+
+def test_near_duplicates_equal_all_pairs(spark):
+    """Signatures, verification and groups against all pairs; at this size the forest finds every pair."""
+    docs = copies_fixture()[0] + [(5000, "one"), (5001, "One!"), (5002, "two"), (5003, ""), (5004, None)]
+    made = {d: s for d, t in docs if (s := plain_signature(t or "")) is not None}
+    got = {r.id: (r.sig % (1 << 64), tuple(r.sketch)) for r in simhash_forest.signatures(spark.createDataFrame(docs, DOCS)).collect()}
+    assert got == made
+    classes = sorted({v: min(d for d in made if made[d] == v) for v in made.values()}.items(), key=lambda x: x[1])
+    parent, links = {d: d for _, d in classes}, Counter()
+    for i, (x, a) in enumerate(classes):
+        for y, b in classes[i + 1 :]:
+            some = sum(p != 255 or q != 255 for p, q in zip(x[1], y[1], strict=True))
+            same = sum(p == q != 255 for p, q in zip(x[1], y[1], strict=True))
+            if (x[0] ^ y[0]).bit_count() <= 14 and same >= 0.5 * some:
+                links[a] += 1
+                links[b] += 1
+                ra, rb = a, b
+                while parent[ra] != ra:
+                    ra = parent[ra]
+                while parent[rb] != rb:
+                    rb = parent[rb]
+                parent[max(ra, rb)] = min(ra, rb)
+    root = lambda d: d if parent[d] == d else root(parent[d])
+    first = {v: d for v, d in classes}
+    want = sorted((d, root(first[v]), links[first[v]]) for d, v in made.items() if root(first[v]) != d)
+    assert sorted(map(tuple, simhash_forest.near_duplicates(spark.createDataFrame(docs, DOCS)).collect())) == want
+
+
+def test_hot_subtrees_are_cut_into_blocks(spark):
+    rng = np.random.default_rng(12)
+    sig = rng.integers(0, 1 << 63, 1200, dtype=np.uint64)
+    one = lambda: np.uint64(1) << rng.integers(0, 64, 800).astype(np.uint64)
+    sig[400:] = sig[0] ^ one() ^ one()
+    df = spark.createDataFrame([(i, int(s)) for i, s in enumerate(sig.view(np.int64))], "id bigint, sig bigint")
+    whole, cut = (set(map(tuple, simhash_forest.forest_pairs(df, 1200, 12, 12, 0.95, task_rows=r).collect())) for r in (None, 90))
+    true = {(int(i), int(j)) for i, j in zip(*np.nonzero(np.bitwise_count(sig[:, None] ^ sig[None, :]) <= 12), strict=True) if i < j}
+    assert whole <= cut <= {(a, b, d) for a, b, d in cut if (a, b) in true} and len(whole) >= 0.99 * len(true)
+
+
+def test_signatures_of_long_texts_equal_those_of_whole_ones(spark):
+    rng = random.Random(27)
+    texts = [words(rng, 500_000), "x" * 3_000_000, "y" * 3_000_000 + " z"]
+    got = simhash_forest.signatures(spark.createDataFrame(list(enumerate(texts)), DOCS)).orderBy("id").collect()
+    for r, t in zip(got, texts, strict=True):
+        g, rows_ = simhash_forest._features(*next(iter(K.slices(pa.array([t]), size=1 << 40)))[2:], 2)
+        assert r.sig % (1 << 64) == int(K.simhash64(g, rows_, 1)[0])
+        assert r.sketch == simhash_forest._sketch(simhash_forest._lows(g, rows_, 1)).tobytes()
+
+
 def test_near_duplicates_edges(spark):
     df = clashing(spark.createDataFrame(EDGE, DOCS))
-    assert rows(simhash_forest.near_duplicates(df)) == [(6, 5)]
+    assert rows(simhash_forest.near_duplicates(df)) == [(6, 5, 0)]
     kept = simhash_forest.drop_near_duplicates(df)
     assert kept.columns == df.columns and kept.count() == len(EDGE) - 2
     assert simhash_forest.near_duplicates(df.limit(0)).count() == 0
