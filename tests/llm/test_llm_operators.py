@@ -169,25 +169,47 @@ def test_decontamination_edges(spark):
 # 2
 
 
+def plain_chunks(raw, bits=2):
+    """Chunks by the gear hash, one byte at a time."""
+    gear = [sum(int(substring_dedup.GEAR[raw[i - k]]) << k for k in range(min(16, i + 1))) % (1 << 32) for i in range(len(raw))]
+    space = [b in b" \t\n\v\f\r" for b in raw]
+    cuts = [i + 1 for i in range(len(raw)) if space[i] and (i + 1 == len(raw) or not space[i + 1]) and not (gear[i] >> (16 - bits)) % (1 << bits) and i + 1 >= 16]
+    edges = sorted({0, *cuts, len(raw)})
+    out = [0]
+    for s, e in zip(edges[:-1], edges[1:], strict=True):
+        inner = []
+        if e - s > 1024:
+            inner = [i + 1 for i in range(s + 15, e - 1) if raw[i + 1] & 0xC0 != 0x80 and not (gear[i] >> 8) % 256]
+        for edge in [*inner, e]:
+            while edge - out[-1] > 1024:
+                at = out[-1] + 1024
+                while at < edge and raw[at] & 0xC0 == 0x80:
+                    at += 1
+                if at >= edge:
+                    break
+                out.append(at)
+            out.append(edge)
+    return [(a, b) for a, b in zip(out[:-1], out[1:], strict=True) if a < b]
+
+
 def brute_repeats(docs, min_words=20, bits=2):
-    """Passages by chunk texts: the least (id, start) of a chunk is kept, neighbouring repeats form a passage."""
+    """Passages by texts: the least (id, start) of a chunk with its successor is kept, repeats that touch form a passage."""
     first, found = {}, []
-    for d, t in sorted(docs):
-        raw = np.frombuffer(t.encode(), np.uint8)
-        s, e, _ = substring_dedup.chunk_spans(raw, np.array([0, len(raw)]), bits)
+    for d, t in sorted({(d, t) for d, t in docs if d is not None and t}):
+        raw = t.encode()
+        cs = plain_chunks(raw, bits)
+        spans = [(a, f) for (a, _), (_, f) in zip(cs, cs[1:], strict=False)] or cs
         run = None
-        for a, b in zip(s.tolist(), e.tolist(), strict=True):
-            chunk = raw[a:b].tobytes()
-            if chunk in first:
-                run = [a, b, len(chunk.split()), {first[chunk]}] if run is None else [run[0], b, run[2] + len(chunk.split()), run[3] | {first[chunk]}]
-            else:
-                first[chunk] = d
-                if run:
-                    found.append((d, *run))
-                run = None
-        if run:
-            found.append((d, *run))
-    return sorted((d, a, b - a, n, sorted(k)) for d, a, b, n, k in found if n >= min_words)
+        for a, b in spans:
+            if first.setdefault(raw[a:b], (d, a)) == (d, a):
+                continue
+            if run is None or a > run[1]:
+                run = [a, b, set()]
+                found.append((d, run, raw))
+            run[1] = b
+            run[2].add(first[raw[a:b]][0])
+    count = lambda raw, a, b: sum(1 for m in re.finditer(rb"[^ \t\n\v\f\r]+", raw) if a <= m.start() < b)
+    return sorted((d, a, b - a, count(raw, a, b), sorted(k)) for d, (a, b, k), raw in found if count(raw, a, b) >= min_words or b - a >= 16 * min_words)
 
 
 def repeat_fixture():
@@ -198,9 +220,26 @@ def repeat_fixture():
 
 def test_repeated_spans_equal_brute_force(spark):
     docs = repeat_fixture()
-    got = [(r.doc_id, r.start, r.length, r.words, r.kept_doc_ids) for r in substring_dedup.repeated_spans(spark.createDataFrame(docs, DOCS)).collect()]
+    blob = base64.b64encode(random.Random(28).randbytes(3000)).decode()  # no white space: cuts of the second kind
+    docs += [(100, "x" * 3000 + " é" * 700), (101, blob), (102, "start " + blob + " end"), (103, "y" + "é" * 2000), (104, "y" + "é" * 2000)]
+    df = spark.createDataFrame(docs, DOCS)
     want = brute_repeats(docs)
-    assert sorted(got) == want and len({d for d, *_ in want}) >= 24
+    assert len({d for d, *_ in want}) >= 26 and {102, 104} <= {d for d, *_ in want}
+    for share in (None, 1e-4):  # without hot digests, and with nearly all of them hot
+        got = [(r.doc_id, r.start, r.length, r.words, r.kept_doc_ids) for r in substring_dedup.repeated_spans(df, hot_share=share).collect()]
+        assert sorted(got) == want
+
+
+def test_long_texts_have_the_chunks_of_whole_ones():
+    rng = random.Random(29)
+    for text in (words(rng, 400_000), "z" * 2_500_000, base64.b64encode(rng.randbytes(1_800_000)).decode(), f"{words(rng, 150_000)} {'é' * 900_000} {words(rng, 20_000)}"):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        s, e, _, _ = substring_dedup.chunk_spans(raw, np.array([0, len(raw)]), 2)
+        whole = substring_dedup._digests(raw, 0, s, e, np.arange(len(s) - 1), np.arange(1, len(s)), np.zeros(1, np.int64))
+        parts = list(substring_dedup._row_digests(raw, 2))
+        assert len(parts) > 1
+        for k in range(3):
+            assert np.array_equal(np.concatenate([p[k] for p in parts]), whole[k])
 
 
 def test_remove_repeats_cuts_the_spans(spark):
@@ -232,7 +271,9 @@ def test_repeats_edges(spark):
     assert substring_dedup.remove_repeats(df).count() == len(EDGE)
     assert substring_dedup.remove_repeats(df.limit(0)).count() == 0
     long = "x" * 5000
-    assert [r.doc_id for r in substring_dedup.repeated_spans(spark.createDataFrame([(1, long), (2, long)], DOCS), min_words=1).collect()] == [2]
+    # the second kilobyte of the one repeats its first
+    got = substring_dedup.repeated_spans(spark.createDataFrame([(1, long), (2, long)], DOCS), min_words=1).collect()
+    assert sorted((r.doc_id, r.start) for r in got) == [(1, 1024), (2, 0)]
 
 
 # 3
