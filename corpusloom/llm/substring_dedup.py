@@ -86,10 +86,11 @@ def _prefix2(body: np.ndarray) -> np.ndarray:
 
 
 def _digests(body: np.ndarray, before: int, s: np.ndarray, e: np.ndarray, at: np.ndarray, last: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(d1, d2, start) of the bytes from chunk at to chunk last (its successor or itself); s and e count from byte before on.
+    """(d1, d2, place) of the bytes from chunk at to chunk last (its successor or itself); s and e count from byte before on.
 
     d1 and the upper 22 bits of d2 are digests of the bytes; below stand the lengths (11 bits each) and words (10 each) of both
-    chunks. rows are the bytes at which rows start.
+    chunks, all told by the bytes alone. place is twice the start, and one more if a word starts there (which the byte before
+    tells); that word is not among the others. rows are the bytes at which rows start.
     """
     space = SPACE[body]
     head = ~space
@@ -103,8 +104,8 @@ def _digests(body: np.ndarray, before: int, s: np.ndarray, e: np.ndarray, at: np
     with np.errstate(over="ignore"):
         d2 = K.mix64((p2[hi] - p2[lo]) * K._pow_table(_BASE2_INV, len(p2))[lo])
     two = last > at
-    sizes = (size[at] << 31) | (np.where(two, size[last], 0) << 20) | (words[at] << 10) | np.where(two, words[last], 0)
-    return d1, (d2 >> np.uint64(42) << np.uint64(42)) | sizes.astype(np.uint64), s[at]
+    sizes = (size[at] << 31) | (np.where(two, size[last], 0) << 20) | ((words[at] - head[before + s[at]]) << 10) | np.where(two, words[last], 0)
+    return d1, (d2 >> np.uint64(42) << np.uint64(42)) | sizes.astype(np.uint64), (s[at] << 1) | head[before + s[at]]
 
 
 def _row_digests(body: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -115,8 +116,8 @@ def _row_digests(body: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.n
         part = body[at - before : end]
         s, e, _, first = chunk_spans(part, np.array([0, end - at]), bits, before, within)
         m = len(s) if end == n else len(s) - 1  # the last chunk may go on
-        d1, d2, start = _digests(part, before, s[:m], e[:m], np.arange(m - 1), np.arange(1, m), np.zeros(0, np.int64))
-        yield d1, d2, at + start
+        d1, d2, place = _digests(part, before, s[:m], e[:m], np.arange(m - 1), np.arange(1, m), np.zeros(0, np.int64))
+        yield d1, d2, (at << 1) + place
         if end == n:
             return
         within = not first[m - 1]
@@ -126,7 +127,7 @@ def _row_digests(body: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.n
 def chunks(docs: DataFrame, bits: int, id_col: str, text_col: str, hot: np.ndarray | None = None, salts: int = 1) -> DataFrame:
     """(d1, d2, id, pos, salt) of every chunk with its successor in the text (a text's only chunk stands alone).
 
-    d1 and d2 are 86 bits of digest, and lengths and words (_digests()); pos is the start in bytes. salt is 0 but for digests in hot.
+    d1 and d2 are 86 bits of digest, and lengths and words; pos is the place (_digests()). salt is 0 but for digests in hot.
     """
     hot = np.zeros(0, np.int64) if hot is None else np.sort(hot)
 
@@ -150,9 +151,8 @@ def chunks(docs: DataFrame, bits: int, id_col: str, text_col: str, hot: np.ndarr
                 if len(s):
                     followed = np.append(row[1:] == row[:-1], False)
                     at = np.flatnonzero(followed | (np.bincount(row)[row] == 1))
-                    d1, d2, start = _digests(body, 0, s, e, at, at + followed[at], offsets[:-1][np.diff(offsets) > 0])
-                    own = np.searchsorted(offsets, start, side="right") - 1
-                    yield out(ids[i + own], d1, d2, start - offsets[own])
+                    d1, d2, place = _digests(body, 0, s, e, at, at + followed[at], offsets[:-1][np.diff(offsets) > 0])
+                    yield out(ids[i + row[at]], d1, d2, place - (offsets[row[at]] << 1))
 
     picked = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
     return picked.mapInArrow(run, "d1 bigint, d2 bigint, id bigint, pos bigint, salt int")
@@ -199,12 +199,12 @@ def repeated_spans(docs: DataFrame, bits: int = 2, min_words: int = 20, id_col:
     again = (
         seen.withColumn("kept_one", kept)
         .where("id <> kept_one.id or pos <> kept_one.pos")
-        .select("id", F.col("pos").alias("start"), F.col("d2").bitwiseAND(F.lit((1 << 42) - 1)).alias("sizes"), F.col("kept_one.id").alias("kept"))
+        .select("id", "pos", F.col("d2").bitwiseAND(F.lit((1 << 42) - 1)).alias("sizes"), F.col("kept_one.id").alias("kept"))
     )
     size_of = lambda at, n: F.shiftright("sizes", at).bitwiseAND(F.lit((1 << n) - 1))
     by_doc = Window.partitionBy("id").orderBy("start")
     # One exchange by id serves the distinct, both windows and the grouping.
-    here = again.repartition(parts, "id").distinct().select("id", "start", size_of(31, 11).alias("l1"), size_of(20, 11).alias("l2"), size_of(10, 10).alias("w1"), size_of(0, 10).alias("w2"), "kept")
+    here = again.repartition(parts, "id").distinct().select("id", F.shiftright("pos", 1).alias("start"), size_of(31, 11).alias("l1"), size_of(20, 11).alias("l2"), (size_of(10, 10) + F.col("pos").bitwiseAND(F.lit(1))).alias("w1"), size_of(0, 10).alias("w2"), "kept")
     end = F.col("start") + F.col("l1") + F.col("l2")
     goes_on = F.coalesce(F.lead("start").over(by_doc) == F.col("start") + F.col("l1"), F.lit(False))
     runs = here.withColumn("fresh", F.when(F.col("start") <= F.lag(end).over(by_doc), 0).otherwise(1)).withColumn("own", F.col("w1") + F.when(goes_on, 0).otherwise(F.col("w2")))
