@@ -189,7 +189,8 @@ def repeated_spans(docs: DataFrame, bits: int = 2, min_words: int = 20, id_col:
     parts = partitions(docs.sparkSession)
     hot = hot_digests(docs, bits, id_col, text_col, sample_docs, hot_share or 1 / (4 * parts))
     w = Window.partitionBy("d1", "d2", *(["salt"] if len(hot) else [])).orderBy("id", "pos")
-    seen = chunks(docs, bits, id_col, text_col, hot, parts).withColumn("kept", F.first(F.struct("id", "pos", "salt")).over(w))
+    cut = chunks(docs, bits, id_col, text_col, hot, parts)
+    seen = (cut if len(hot) else cut.drop("salt")).withColumn("kept", F.first(F.struct("id", "pos", *(["salt"] if len(hot) else []))).over(w))
     kept = F.col("kept")
     if len(hot):
         # 1 / hot_share rows at most; the filter looks at kept alone, so that both sides read one exchange.

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,16 +31,26 @@ def url_key_sql(url: str) -> str:
     return f"CASE WHEN {host} <> '' THEN array_to_string(list_reverse(string_split({host}, '.')), ',') || ')' || ({path}) END"
 
 
-def range_splits(rows: DataFrame, columns: list[str], parts: int, per_part: int = 64) -> list[tuple]:
-    """At most parts - 1 tuples of the columns that cut rows into ranges of about equal size.
+def range_splits(rows: DataFrame, columns: list[str], parts: int, n: int, per_part: int = 64) -> list[tuple]:
+    """At most parts - 1 tuples of the columns that cut rows (n of them) into ranges of about equal size.
 
-    They come from a sample of about parts * per_part rows picked by a hash of the columns; like the splits of any range
-    partitioning they decide where rows go, never what the result is.
+    They come from a sample of about parts * per_part rows picked by a hash of the columns, which is sorted on the cluster; the
+    driver gets every per_part-th of it. Like the splits of any range partitioning they decide where rows go, never what the
+    result is.
     """
-    n = rows.count()
     share = min(1.0, parts * per_part / max(1, n))
     sample = rows.select(*columns)
     if share < 1:
         sample = sample.where(F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) < int(share * (1 << 30)))
-    got = sorted(tuple(r) for r in sample.collect())
-    return sorted({got[k * len(got) // parts] for k in range(1, parts)}) if got else []
+    step = max(1, min(n, parts * per_part) // parts)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = step // 2
+        for b in batches:
+            at = np.arange(-seen % step, b.num_rows, step)
+            seen += b.num_rows
+            if len(at):
+                yield b.take(pa.array(at))
+
+    ranged = sample.repartitionByRange(min(parts, max(1, parts * per_part // 8192)), *columns).sortWithinPartitions(*columns)
+    return sorted({tuple(r) for r in ranged.mapInArrow(pick, sample.schema).collect()})[: parts - 1]

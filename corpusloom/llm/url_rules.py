@@ -26,18 +26,19 @@ def match_rules(pages: DataFrame, rules: DataFrame, url_col: str = "url", id_col
     A page without a key (null or hostless URL) meets no rule. Where no rule holds, n_rules is 0, rule null and action the
     default. Rules of a null prefix are left out, the empty prefix holds for every key. Of rules with equal prefixes all
     count and the greatest action (null is least) is told. Rows of a null or repeated page_id are pages of their own. Other
-    columns are not looked at.
+    columns are not looked at. Ids are whole numbers. An empty table of pages gives no rows, one of rules the default for all.
     """
     spark = pages.sparkSession
     urls = pages.select(url_key(F.col(url_col)).alias("key"), F.col(id_col).cast("bigint").alias("id"))
     known = urls.where("key is not null")
     parts = partitions(spark)
-    bounds = [(k.encode(), -(1 << 63) if i is None else i) for k, i in range_splits(known.select("key", F.coalesce("id", F.lit(-(1 << 63))).alias("id")), ["key", "id"], parts)]
+    least = -(1 << 63)
+    bounds = [(k.encode(), i) for k, i in range_splits(known.select("key", F.coalesce("id", F.lit(least)).alias("id")), ["key", "id"], parts, known.count())]
 
     def place_urls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, ids = b.column(0).to_pylist(), b.column(1).to_pylist()
-            part = [bisect_right(bounds, (k.encode(), -(1 << 63) if i is None else i)) for k, i in zip(keys, ids, strict=True)]
+            part = [bisect_right(bounds, (k.encode(), least if i is None else i)) for k, i in zip(keys, ids, strict=True)]
             n = len(part)
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), b.column(0), pa.array([1] * n, pa.int32()), b.column(1), pa.nulls(n, pa.string())], ["part", "key", "kind", "id", "action"])
 
@@ -46,8 +47,8 @@ def match_rules(pages: DataFrame, rules: DataFrame, url_col: str = "url", id_col
             out = []
             for prefix, action in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 raw = prefix.encode()
-                lo = bisect_right(bounds, (raw, -(1 << 63)))
-                hi = bisect_left(bounds, (raw + b"\xff", -(1 << 63)))  # no UTF-8 key goes beyond prefix + 0xff
+                lo = bisect_right(bounds, (raw, least))
+                hi = bisect_left(bounds, (raw + b"\xff", least))  # no UTF-8 key goes beyond prefix + 0xff
                 out += [(p, prefix, action) for p in range(lo, hi + 1)]
             if out:
                 n = len(out)
@@ -73,7 +74,8 @@ def match_rules(pages: DataFrame, rules: DataFrame, url_col: str = "url", id_col
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string()), strict=True)], ["page_id", "url_key", "n_rules", "rule", "action"])
 
     placed = known.mapInArrow(place_urls, _ROW).union(rules.select(F.col("prefix").cast("string").alias("prefix"), F.col("action").cast("string").alias("action")).where("prefix is not null").mapInArrow(place_rules, _ROW))
-    ordered = placed.repartition(parts, "part").sortWithinPartitions("part", "key", "kind", F.asc_nulls_first("action"))
+    # Every part is a partition of its own: ranges are even, and so are tasks.
+    ordered = placed.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "key", "kind", F.asc_nulls_first("action"))
     fields = "page_id bigint, url_key string, n_rules bigint, rule string, action string"
     unknown = urls.where("key is null").select(F.col("id").alias("page_id"), F.col("key").alias("url_key"), F.lit(0).cast("bigint").alias("n_rules"), F.lit(None).cast("string").alias("rule"), F.lit(default_action).alias("action"))
     return ordered.mapInArrow(sweep, fields).union(unknown)

@@ -1,6 +1,7 @@
 """The ten operators and the pipeline against brute force, and their edge cases."""
 
 import base64
+import hashlib
 import inspect
 import math
 import random
@@ -399,6 +400,71 @@ def test_quotation_links(spark):
     assert quotation_links.link_conversations(df.limit(0)).count() == 0
 
 
+def plain_threads(messages):
+    """Parents by looking through all earlier messages of the conversation, and reply order by recursion."""
+    norm = lambda x: re.sub(r"[ \t\r\f]+", " ", x).strip(" ").lower()
+    split = lambda t: [(m.group(1).count(">"), x[m.end() :]) if (m := re.match(r"[ \t]*((?:>[ \t]?)+)", x)) else (0, x) for x in re.split(r"\r\n|\r|\n", t or "")]
+
+    def groups(lines):
+        out = []
+        for i, (level, body) in enumerate(lines):
+            if not i or lines[i - 1][0] != level:
+                out.append((level, []))
+            if norm(body):
+                out[-1][1].append(norm(body))
+        return out
+
+    own = {}
+    for c, t, _, x in messages:
+        g = [(level, p) for level, p in groups(split(x)) if p]
+        told = [p for level, p in g if not level]
+        own[c, t] = {*(" ".join(p) for p in told), *(y for p in told for y in p), " ".join(y for p in told for y in p)} - {""}, [(level, y) for level, p in g if level for y in (" ".join(p), *p)]
+    parent = {}
+    for (c, t), (_, asked) in own.items():
+        found = [(-level, len(y), s) for level, y in asked for (d, s), (told, _) in own.items() if d == c and s < t and y in told]
+        parent[c, t] = max(found)[2] if found else None
+    out = {}
+
+    def visit(c, t, depth, at):
+        out[c, t] = (at, t if parent[c, t] is None else parent[c, t], depth)
+        at += 1
+        for d, s in sorted(own):
+            if d == c and parent[d, s] == t:
+                at = visit(c, s, depth + 1, at)
+        return at
+
+    for c in {c for c, _ in own}:
+        at = 0
+        for d, t in sorted(own):
+            if d == c and parent[d, t] is None:
+                at = visit(c, t, 0, at)
+    return out
+
+
+def test_quotation_links_equal_brute_force(spark):
+    rng = random.Random(30)
+    made, texts = [], {}
+    for c in range(12):
+        for t in range(rng.choice([1, 4, 9, 25])):
+            lines = [rng.choice(["yes", "no", words(rng, 6, 50)]) for _ in range(rng.randrange(1, 4))]  # short lines tie
+            text = "\n".join(lines)
+            for level in range(rng.choice([0, 1, 1, 2]) if t else 0, 0, -1):
+                source = texts[c, rng.randrange(t)].split("\n")
+                text = "\n".join("> " * level + x for x in source[: rng.randrange(1, 4)]) + "\n" + text
+            texts[c, t] = "\n".join(lines)
+            made.append((c, t, "r", text if rng.random() < 0.95 else None))
+    want = plain_threads(made)
+    assert len({p for _, (_, p, _) in want.items()}) > 5 and max(d for _, _, d in want.values()) > 3
+    df = spark.createDataFrame(made, "conv_id bigint, turn bigint, role string, text string")
+    for column in ("conv", "own", "hash", "position", "parent", "depth", "o_turn"):
+        df = df.withColumn(column, F.lit("clash"))
+    for most in (1_000_000, 3):  # small conversations in a task each, and great ones by rounds
+        got = {(r.conv_id, r.turn): (r.position, r.parent_turn, r.depth) for r in quotation_links.link_conversations(df, task_messages=most).collect()}
+        assert got == want
+    long = spark.createDataFrame([(1, 0, "a", "line " * 500_000), (1, 1, "b", "> " + "line " * 500_000 + "\nshort")], "conv_id bigint, turn bigint, role string, text string")
+    assert [(r.turn, r.parent_turn, len(r.text)) for r in quotation_links.link_conversations(long).orderBy("turn").collect()] == [(0, 0, 2_499_999), (1, 0, 5)]
+
+
 # 6
 
 
@@ -412,18 +478,26 @@ def test_loser_tree_merges():
 def test_capture_histories(spark):
     rng = random.Random(7)
     m = [(i, f"http://h{rng.randrange(5)}.example.com/p{rng.randrange(3)}", rng.choice(["a", "b", None]), rng.randrange(40)) for i in range(500)]
-    m += [(None, "http://a.b/", "x", 1), (900, None, "x", 1), (901, "nohost", "x", 1)]
-    df = spark.createDataFrame(m, "page_id bigint, url string, html string, when bigint")
-    got = capture_merge.capture_histories(df, F.col("when"), rows_per_part=50).orderBy("position").collect()
+    m += [(7, "http://h1.example.com/p1", x, 5) for x in ("zz", "aa", None, "zz", "mm")]  # equal but for the body
+    rng.shuffle(m)
+    extra = [(None, "http://a.b/", "x", 1), (900, None, "x", 1), (901, "nohost", "x", 1)]
+    df = clashing(spark.createDataFrame(m + extra, "page_id bigint, url string, html string, when bigint").repartition(7))
+    for c in ("ts", "digest", "nth", "revisit", "pos"):
+        df = df.withColumn(c, F.lit("clash"))
     key = lambda u: ",".join(reversed(u.split("/")[2].split("."))) + ")/" + u.split("/", 3)[3]
-    want = sorted((key(u), t, i, h) for i, u, h, t in m[:500])
-    assert [(r.url_key, r.ts, r.page_id) for r in got] == [w[:3] for w in want] and [r.position for r in got] == list(range(500))
-    seen, last = Counter(), {}
-    for r, (k, _, _, h) in zip(got, want, strict=True):
-        seen[k] += 1
-        assert r.capture_no == seen[k] and r.revisit == (h is not None and last.get(k, "?") == h)
-        last[k] = h
+    md5 = lambda h: None if h is None else hashlib.md5(h.encode()).hexdigest()
+    want = sorted(((key(u), t, i, md5(h)) for i, u, h, t in m), key=lambda r: (*r[:3], r[3] is not None, r[3]))
+    for rows_per_part in (50, 100_000):
+        got = capture_merge.capture_histories(df, F.col("when"), rows_per_part=rows_per_part).orderBy("position").collect()
+        assert [(r.url_key, r.ts, r.page_id, r.digest) for r in got] == want and [r.position for r in got] == list(range(505))
+        seen, last = Counter(), {}
+        for r, (k, _, _, h) in zip(got, want, strict=True):
+            seen[k] += 1
+            assert r.capture_no == seen[k] and r.revisit == (h is not None and last.get(k, "?") == h)
+            last[k] = h
     assert capture_merge.capture_histories(df.limit(0), F.col("when")).count() == 0
+    big = spark.createDataFrame([(1, "http://a.b/" + "x" * 3_000_000, "y" * 3_000_000, 1)], "page_id bigint, url string, html string, when bigint")
+    assert capture_merge.capture_histories(big, F.col("when")).first().capture_no == 1
 
 
 # 7
