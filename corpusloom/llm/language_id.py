@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,37 @@ def presence(body: np.ndarray, offsets: np.ndarray, orders: tuple[int, ...], lo:
     return out
 
 
+def presences(text, orders: tuple[int, ...]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first row, row after the last, presence()) of lower-case rows, up to 256 at a time; a long one is gone through by parts."""
+    for i, j, body, offsets in K.slices(text):
+        n = len(body)
+        if j - i == 1 and n > 2 * K.SLICE_BYTES:
+            p = np.zeros((1, DIM), np.float32)
+            for lo in range(0, n, K.SLICE_BYTES):
+                part = body[lo : lo + K.SLICE_BYTES + max(orders) - 1]
+                np.maximum(p, presence(part, np.array([0, len(part)]), orders, 0, 1), out=p)
+            yield i, j, p
+            continue
+        for lo in range(0, j - i, 256):
+            hi = min(lo + 256, j - i)
+            yield i + lo, i + hi, presence(body, offsets, orders, lo, hi)
+
+
+def pack(p: np.ndarray) -> list[bytes]:
+    """Rows of presence() as bytes: the numbers of their columns, or where that is longer a bitmap of DIM / 8 bytes."""
+    return [c.astype(np.uint16).tobytes() if 2 * len(c := np.flatnonzero(r)) < DIM // 8 else np.packbits(r > 0).tobytes() for r in p]
+
+
+def unpack(packed: list[bytes]) -> np.ndarray:
+    p = np.zeros((len(packed), DIM), np.float32)
+    for k, raw in enumerate(packed):
+        if len(raw) == DIM // 8:
+            p[k] = np.unpackbits(np.frombuffer(raw, np.uint8))
+        else:
+            p[k, np.frombuffer(raw, np.uint16)] = 1
+    return p
+
+
 @dataclass
 class LanguageModel:
     """classes, the landmarks' n-gram columns (DIM, m) in unit length, and the dual weights (m, classes).
@@ -68,18 +100,16 @@ class LanguageModel:
         # P (L A) = (P L) A: kernel values and scores in one product; the last column is the mean kernel value
         self.folded = np.concatenate([self.landmarks @ self.weights, self.landmarks.mean(axis=1, keepdims=True)], axis=1)
 
-    def scores(self, text) -> np.ndarray:
+    def score(self, p: np.ndarray) -> np.ndarray:
         """(rows, classes + 2), the mean kernel value and the number of n-grams last; a row without letters has -inf scores."""
-        out = []
-        for _, _, body, offsets in K.slices(text):
-            for lo in range(0, len(offsets) - 1, 256):
-                hi = min(lo + 256, len(offsets) - 1)
-                p = presence(body, offsets, self.orders, lo, hi)
-                size = p.sum(axis=1)
-                s = (p @ self.folded) / np.sqrt(np.maximum(size, 1))[:, None]
-                s[size == 0] = -np.inf
-                out.append(np.concatenate([s, size[:, None]], axis=1))
-        return np.concatenate(out) if out else np.zeros((0, len(self.classes) + 2), np.float32)
+        size = p.sum(axis=1)
+        s = (p @ self.folded) / np.sqrt(np.maximum(size, 1))[:, None]
+        s[size == 0] = -np.inf
+        return np.concatenate([s, size[:, None]], axis=1)
+
+    def scores(self, text) -> np.ndarray:
+        """score() of texts."""
+        return np.concatenate([np.zeros((0, len(self.classes) + 2), np.float32), *(self.score(p) for _, _, p in presences(text, self.orders))])
 
     def judge(self, text) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(best class, its score, accepted) of each row."""
@@ -98,25 +128,35 @@ def measures(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return top[:, -1], lead, s[:, -2], s[:, -1]
 
 
-def fit(texts: list[str], langs: list[str], landmarks: int = 128, ridge: float = 1e-2, orders: tuple[int, ...] = (1, 2, 3), reject: float = 1e-3, folds: int = 5, groups: int = 16, seed: int = 3) -> LanguageModel:
-    """One-versus-rest kernel ridge regression on Nyström features of normalised presence kernels.
-
-    The bounds of rejection are ``reject`` quantiles over held-out rows: each fold's rows, and a window of each of their texts in
-    each of CUTS characters, are scored by a model of the other folds, and taken in about ``groups`` groups (of 250 rows or more) by
-    the number of their n-grams. Where no fold can be held out without losing a class, all rows with letters are accepted.
+def fit(
+    packed: list[bytes],
+    langs: list[str],
+    windows: list[list[bytes]],
+    landmarks: int = 128,
+    ridge: float = 1e-2,
+    orders: tuple[int, ...] = (1, 2, 3),
+    reject: float = 1e-3,
+    folds: int = 5,
+    groups: int = 16,
+    seed: int = 3,
+) -> LanguageModel:
+    """One-versus-rest kernel ridge regression on Nyström features of normalised presence kernels, from pack()ed rows.
+
+    The bounds of rejection are ``reject`` quantiles over held-out rows: each fold's rows, and windows of each of their texts, are
+    scored by a model of the other folds, and taken in about ``groups`` groups (of 250 rows or more) by the number of their n-grams.
+    Where no fold can be held out without losing a class, all rows with letters are accepted.
     """
-    model = _regress(texts, langs, landmarks, ridge, orders, seed)
-    rng = np.random.default_rng(seed)
-    fold = rng.permutation(len(texts)) % folds
+    model = _regress(packed, langs, landmarks, ridge, orders, seed)
+    fold = np.random.default_rng(seed).permutation(len(packed)) % folds
     found = [np.zeros((0, 4), np.float32)]
     for f in range(folds):
-        rest = [i for i in range(len(texts)) if fold[i] != f]
-        held = [texts[i] for i in np.flatnonzero(fold == f)]
+        rest = np.flatnonzero(fold != f).tolist()
+        held = [x for i in np.flatnonzero(fold == f) for x in (packed[i], *windows[i])]
         if not rest or not held:
             continue
-        other = _regress([texts[i] for i in rest], [langs[i] for i in rest], landmarks, ridge, orders, seed)
+        other = _regress([packed[i] for i in rest], [langs[i] for i in rest], landmarks, ridge, orders, seed)
         if len(other.classes) == len(model.classes):
-            found.append(np.stack(measures(other.scores(pa.array([*held, *_windows(held, rng)], pa.large_string()))), axis=1))
+            found += [np.stack(measures(other.score(unpack(held[k : k + 256]))), axis=1) for k in range(0, len(held), 256)]
     rows = np.concatenate(found)
     rows = rows[rows[:, 3] > 0]
     if len(rows):
@@ -124,7 +164,7 @@ def fit(texts: list[str], langs: list[str], landmarks: int = 128, ridge: float =
         group = max(250, len(rows) // groups)
         model.sizes = np.unique(rows[::group, 3][: max(1, len(rows) // group)])  # the last group takes the rest
         of = np.maximum(np.searchsorted(model.sizes, rows[:, 3], "right") - 1, 0)
-        model.bounds = np.stack([_low(rows[of == k, :3], len(texts), reject) for k in range(len(model.sizes))])
+        model.bounds = np.stack([_low(rows[of == k, :3], len(packed), reject) for k in range(len(model.sizes))])
     return model
 
 
@@ -140,17 +180,16 @@ def _low(values: np.ndarray, texts: int, reject: float) -> np.ndarray:
         return np.nan_to_num(middle - (middle - low) * max(1.0, np.log(0.5 / reject) / np.log(n / 2)), nan=-np.inf)
 
 
-def _windows(texts: list[str], rng: np.random.Generator) -> Iterator[str]:
-    """A window of each of CUTS characters out of each longer text, from the start of a word where one starts in its reach."""
-    for t in texts:
-        for n in CUTS:
-            if len(t) > n:
-                at = int(rng.integers(0, len(t) - n + 1))
-                blank = t.rfind(" ", 0, at + 1)
-                yield t[blank + 1 : blank + 1 + n] if at - blank <= 40 else t[at : at + n]
+def _windows(key: str, text: str) -> Iterator[str]:
+    """A window of each of CUTS characters out of a longer text, from the start of a word where one starts in its reach; key tells where."""
+    for n in CUTS:
+        if len(text) > n:
+            at = int.from_bytes(md5(f"{key}:{n}".encode()).digest()[:8], "big") % (len(text) - n + 1)
+            blank = text.rfind(" ", max(0, at - 40), at + 1) if at else -1
+            yield text[blank + 1 : blank + 1 + n] if blank >= 0 or at <= 40 else text[at : at + n]
 
 
-def _regress(texts: list[str], langs: list[str], landmarks: int, ridge: float, orders: tuple[int, ...], seed: int) -> LanguageModel:
+def _regress(packed: list[bytes], langs: list[str], landmarks: int, ridge: float, orders: tuple[int, ...], seed: int) -> LanguageModel:
     """The model without bounds."""
     classes = sorted(set(langs))
     y = np.array([classes.index(c) for c in langs])
@@ -160,18 +199,17 @@ def _regress(texts: list[str], langs: list[str], landmarks: int, ridge: float, o
         own = np.flatnonzero(y == c)
         picked += rng.permutation(own)[: max(1, landmarks // len(classes))].tolist()
 
-    def unit(indices: list[int]) -> Iterator[np.ndarray]:
-        for k in range(0, len(indices), 256):
-            _, _, body, offsets = next(iter(K.slices(pa.array([texts[i] for i in indices[k : k + 256]], pa.large_string()), size=1 << 40)))
-            p = presence(body, offsets, orders, 0, len(offsets) - 1)
+    def unit(rows: list[bytes]) -> Iterator[np.ndarray]:
+        for k in range(0, len(rows), 256):
+            p = unpack(rows[k : k + 256])
             yield p / np.sqrt(np.maximum(p.sum(axis=1, keepdims=True), 1))
 
-    marks = np.concatenate(list(unit(picked))).T
+    marks = np.concatenate(list(unit([packed[i] for i in picked]))).T
     kernel = (marks.T @ marks).astype(np.float64)
     values, vectors = np.linalg.eigh(kernel)
     keep = values > values[-1] * 1e-6
     root = vectors[:, keep] / np.sqrt(values[keep])
-    values_of = np.concatenate([u @ marks for u in unit(list(range(len(texts))))]).astype(np.float64)
+    values_of = np.concatenate([u @ marks for u in unit(packed)]).astype(np.float64)
     phi = values_of @ root
     target = np.where(y[:, None] == np.arange(len(classes))[None, :], 1.0, -1.0)
     weight = 1 / np.bincount(y, minlength=len(classes))[y]  # classes count alike
@@ -181,21 +219,37 @@ def _regress(texts: list[str], langs: list[str], landmarks: int, ridge: float, o
     return LanguageModel(classes, marks, dual.astype(np.float32), orders, np.zeros(1, np.float32), np.full((1, 3), -np.inf, np.float32))
 
 
-def train(docs: DataFrame, max_train_rows: int = 2000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> LanguageModel | None:
-    """A model from the rows that have a language, or from a sample of about max_train_rows of them, by a hash of the id.
+def train(docs: DataFrame, max_train_rows: int = 2000, orders: tuple[int, ...] = (1, 2, 3), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> LanguageModel | None:
+    """A model from the rows that have a language, or from a sample of about max_train_rows of them, by a hash of id and text.
 
-    None if no row has both a language and a text.
+    Rows of equal id, text and language count once. Texts are turned into n-gram presences where they are: the driver gets
+    DIM / 8 = 4096 bytes at most for a text and for each of its len(CUTS) = 8 windows.
+    None if no row has both a language and a text that is not blank.
     """
     known = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    n = known.count()
-    share = min(1.0, max_train_rows / max(1, n))
-    order = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
-    sample = known.where(order < int(share * (1 << 30)) + 1) if share < 1 else known
-    rows = sorted(sample.collect(), key=lambda r: (r.id or "", r.lang, r.text))
-    rows = [r for r in rows if r.text.strip()]
+    share = min(1.0, max_train_rows / max(1, known.count()))
+    sample = known.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1) if share < 1 else known
+
+    def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 64):
+                keys, langs = (b.column(c).slice(lo, 64).to_pylist() for c in (0, 2))
+                texts = b.column(1).slice(lo, 64)
+                whole = [x for _, _, p in presences(texts, orders) for x in pack(p)]
+                out = []
+                for key, lang, text, bits in zip(keys, langs, texts.to_pylist(), whole, strict=True):
+                    if text.strip():
+                        cut = list(_windows(key or "", text))
+                        windows = [x for _, _, p in presences(pa.array(cut, pa.string()), orders) for x in pack(p)]
+                        out.append((key or "", lang, bits, windows))
+                if out:
+                    kinds = (pa.string(), pa.string(), pa.binary(), pa.list_(pa.binary()))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["id", "lang", "bits", "windows"])
+
+    rows = sorted(sample.distinct().mapInArrow(featurise, "id string, lang string, bits binary, windows array<binary>").collect())
     if not rows:
         return None
-    return fit([r.text for r in rows], [r.lang for r in rows], **options)
+    return fit([bytes(r.bits) for r in rows], [r.lang for r in rows], [[bytes(w) for w in r.windows] for r in rows], orders=orders, **options)
 
 
 def identify(docs: DataFrame, model: LanguageModel | None, only_accepted: bool = False, text_col: str = "text") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import table
+from .common import materialize, table
 
 BITS = 20
 PREFIXES = (4, 5)
@@ -47,6 +47,26 @@ def _term_columns(term: str) -> np.ndarray:
     return np.concatenate(word_features(body, offsets)[0])
 
 
+def presences(text, known: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray, list[tuple[int, int]]]]:
+    """(first row, row after the last, sorted keys row << BITS | column, (row, hash) of known words) of rows; rows count from the first.
+
+    A long text is gone through in pieces.
+    """
+    held = None
+    for i, j, body, offsets, at in K.pieces(text):
+        features, row, h = word_features(body, offsets)
+        key = np.unique(np.concatenate([(row << BITS) | c for c in features]))
+        term = np.flatnonzero(np.isin(h, known)) if known is not None else np.zeros(0, np.int64)
+        terms = set(zip(row[term].tolist(), h[term].tolist(), strict=True))
+        if held is not None and at:
+            key, terms = np.union1d(held[2], key), terms | set(held[3])
+        elif held is not None:
+            yield held
+        held = (i, j, key, sorted(terms))
+    if held is not None:
+        yield held
+
+
 class _Swaps:
     """Counterfactual partners of identity terms, by word hash."""
 
@@ -73,49 +93,32 @@ class ToxicityModel:
         w[self.columns] = self.values
         used = w != 0
         out = []
-        for i, j, body, offsets in K.slices(text):
-            features, row, _ = word_features(body, offsets)
-            key = []
-            for c in features:
-                hit = np.flatnonzero(used[c])
-                key.append((row[hit] << BITS) | c[hit])
-            key = np.unique(np.concatenate(key))
+        for i, j, key, _ in presences(text):
+            key = key[used[key & ((1 << BITS) - 1)]]
             out.append(self.bias + np.bincount(key >> BITS, weights=w[key & ((1 << BITS) - 1)], minlength=j - i))
         return np.concatenate(out) if out else np.zeros(0)
 
 
-def fit(rows: list[tuple[int, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]], swap_weight: float = 4.0, ridge: float = 1e-3, min_z: float = 3.0, rounds: int = 200) -> ToxicityModel | None:
-    """Logistic regression on the columns whose presence goes with the label.
+def fit(keep: np.ndarray, rows: list[tuple[int, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]], swap_weight: float = 4.0, ridge: float = 1e-3, rounds: int = 200) -> ToxicityModel | None:
+    """Logistic regression on the columns keep (sorted).
 
-    rows: (label, the columns present, the counterfactual swaps as (columns lost, columns won)). Columns are screened by the
-    z-score of their rate among toxic and other rows (min_z). The loss is the class-balanced log-loss, plus ridge, plus
-    swap_weight times the mean squared change of score over all swaps of labelled rows. Every fifth row is held out; the
-    threshold is the one of the best F1 there. None if only one label is there.
+    rows: (label, the indices in keep of the columns present, the counterfactual swaps as (columns lost, columns won)). The loss is
+    the class-balanced log-loss, plus ridge, plus swap_weight times the mean squared change of score over all swaps of labelled
+    rows. Every fifth row is held out; the threshold is the one of the best F1 there. None if only one label is there.
     """
     y = np.array([r[0] for r in rows], np.float64)
     if not len(y) or y.min() == y.max():
         return None
-    n1, n0 = float(y.sum()), float(len(y) - y.sum())
-    toxic, total = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    for label, present, _ in rows:  # a row has each of its columns once
-        total[present] += 1
-        if label > 0:
-            toxic[present] += 1
-    rate = total / len(y)
-    z = (toxic / n1 - (total - toxic) / n0) / np.sqrt(np.maximum(rate * (1 - rate), 1e-12) * (1 / n1 + 1 / n0))
-    keep = np.flatnonzero((total >= 2) & (np.abs(z) >= min_z))
     swapped = [s for r in rows for s in r[2]]
-    at = np.full(1 << BITS, -1)
-    at[keep] = np.arange(len(keep))
-    kept = [at[r[1]] for r in rows]
-    kept = [c[c >= 0] for c in kept]
+    kept = [r[1] for r in rows]
     row = np.repeat(np.arange(len(rows)), [len(c) for c in kept])
     cols = np.concatenate(kept)
-    d_row = np.concatenate([np.full(len(a) + len(b), k) for k, (a, b) in enumerate(swapped)]) if swapped else np.zeros(0, np.int64)
-    d_col = np.concatenate([np.concatenate([a, b]) for a, b in swapped]) if swapped else np.zeros(0, np.int64)
-    d_val = np.concatenate([np.concatenate([-np.ones(len(a)), np.ones(len(b))]) for a, b in swapped]) if swapped else np.zeros(0)
-    ok = at[d_col] >= 0
-    d_row, d_col, d_val = d_row[ok], at[d_col[ok]], d_val[ok]
+    d_row = np.concatenate([np.zeros(0, np.int64), *(np.full(len(a) + len(b), k) for k, (a, b) in enumerate(swapped))])
+    d_col = np.concatenate([np.zeros(0, np.int64), *(np.concatenate([a, b]) for a, b in swapped)])
+    d_val = np.concatenate([np.zeros(0), *(np.concatenate([-np.ones(len(a)), np.ones(len(b))]) for a, b in swapped)])
+    at = np.minimum(np.searchsorted(keep, d_col), max(0, len(keep) - 1))
+    ok = keep[at] == d_col if len(keep) else np.zeros(len(d_col), np.bool_)
+    d_row, d_col, d_val = d_row[ok], at[ok], d_val[ok]
 
     fold = np.arange(len(y)) % 5 == 4
     if not (y[fold].any() and y[~fold].any() and (1 - y[fold]).any() and (1 - y[~fold]).any()):
@@ -147,49 +150,80 @@ def fit(rows: list[tuple[int, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]],
     return ToxicityModel(keep, w[:-1], float(w[-1]), threshold)
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = 10000, groups: tuple[tuple[str, ...], ...] = IDENTITY_GROUPS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> ToxicityModel | None:
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    max_train_rows: int = 10000,
+    min_z: float = 3.0,
+    groups: tuple[tuple[str, ...], ...] = IDENTITY_GROUPS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    **options,
+) -> ToxicityModel | None:
     """A model from the labelled rows, or from a sample of about max_train_rows of them, by a hash of the id.
 
-    Rows with a null id, label or text are left out. An id labelled twice counts as toxic if one of its labels is.
+    Rows with a null id, label or text are left out. An id labelled twice counts as toxic if one of its labels is; of documents
+    that repeat an id the least text is learnt from. Columns are screened on the cluster by the z-score of their rate among
+    toxic and other rows (min_z), so the driver gets those alone, of the sampled rows alone. None if only one label is there.
     """
-    known = labels.select(F.col(id_col).cast("bigint").alias("key"), F.col(label_col).cast("int").alias("y")).where("key is not null and y is not null").groupBy("key").agg(F.max("y").alias("y"))
-    n = known.count()
-    share = min(1.0, max_train_rows / max(1, n))
+    known = labels.select(F.col(id_col).cast("bigint").alias("key"), F.col(label_col).cast("int").alias("y")).where("key is not null and y is not null").groupBy("key").agg((F.max("y") > 0).cast("int").alias("y"))
+    share = min(1.0, max_train_rows / max(1, known.count()))
     sample = known.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
     picked = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
     # max_train_rows bounds the sample, so it may go to every task whatever the corpus.
-    joined = picked.join(F.broadcast(sample), F.col("id") == F.col("key")).select("id", "y", "text")
+    joined = picked.join(F.broadcast(sample), F.col("id") == F.col("key")).groupBy("id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         swaps = _Swaps(groups)
         for b in batches:
-            for i, j, body, offsets in K.slices(b.column(2)):
-                features, row, h = word_features(body, offsets)
-                key = np.unique(np.concatenate([(row << BITS) | c for c in features]))
+            for i, j, key, terms in presences(b.column(2), swaps.known):
                 cuts = np.searchsorted(key, np.arange(j - i + 1) << BITS)
-                term = np.flatnonzero(np.isin(h, swaps.known))
-                found: dict[int, set[int]] = {}
-                for k in term.tolist():
-                    found.setdefault(int(row[k]), set()).add(int(h[k]))
-                packed = [(key[cuts[k] : cuts[k + 1]] & ((1 << BITS) - 1)).astype(np.int32).tobytes() for k in range(j - i)]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(packed, pa.binary()), pa.array([np.array(sorted(found.get(k, ())), np.uint64).view(np.int64).tobytes() for k in range(j - i)], pa.binary())],
-                    ["id", "y", "columns", "terms"],
-                )
+                own: dict[int, list[int]] = {}
+                for r, h in terms:
+                    own.setdefault(r, []).append(h)
+                columns = [(key[cuts[k] : cuts[k + 1]] & ((1 << BITS) - 1)).astype(np.int32).tobytes() for k in range(j - i)]
+                found = [np.array(own.get(k, []), np.uint64).tobytes() for k in range(j - i)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(columns, pa.binary()), pa.array(found, pa.binary())], ["id", "y", "columns", "terms"])
+
+    features = materialize(joined.mapInArrow(featurise, "id bigint, y int, columns binary, terms binary"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, toxic = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+        for b in batches:
+            for y, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):  # a row has each of its columns once
+                c = np.frombuffer(raw, np.int32)
+                total[c] += 1
+                toxic[c] += y
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at]), pa.array(toxic[at])], ["c", "total", "toxic"])
+
+    n, n1 = features.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    if not 0 < n1 < n:
+        return None
+    rate = F.col("total") / n
+    z = (F.col("toxic") / n1 - (F.col("total") - F.col("toxic")) / (n - n1)) / F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-12)) * (1 / n1 + 1 / (n - n1)))
+    counts = features.select("y", "columns").mapInArrow(count, "c bigint, total bigint, toxic bigint").groupBy("c").agg(F.sum("total").alias("total"), F.sum("toxic").alias("toxic"))
+    keep = np.sort(np.array([r[0] for r in counts.where((F.col("total") >= 2) & (F.abs(z) >= min_z)).select("c").collect()], np.int64))
+
+    def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = np.full(1 << BITS, -1, np.int32)
+        at[keep] = np.arange(len(keep))
+        for b in batches:
+            kept = [at[np.frombuffer(raw, np.int32)] for raw in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([c[c >= 0].tobytes() for c in kept], pa.binary()), b.column(3)], ["id", "y", "columns", "terms"])
 
     swaps = _Swaps(groups)
-    rows = []
-    for r in sorted(joined.mapInArrow(featurise, "id bigint, y int, columns binary, terms binary").collect()):
-        terms = np.frombuffer(r[3], np.int64).view(np.uint64)
-        rows.append((r[1], np.frombuffer(r[2], np.int32), [s for t in terms for s in swaps.by[int(t)]]))
-    return fit(rows, **options)
+    rows = [(r[1], np.frombuffer(r[2], np.int32).astype(np.int64), [s for t in np.frombuffer(r[3], np.uint64) for s in swaps.by[int(t)]]) for r in sorted(features.mapInArrow(screen, features.schema).collect())]
+    return fit(keep, rows, **options)
 
 
 def score(docs: DataFrame, model: ToxicityModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, toxic) of every row: score is the probability, toxic whether it passes the model's threshold.
 
     A null or wordless text is scored by the bias alone and never toxic; without a model scores are null. Null ids and rows
-    that repeat an id are scored like any other. Other columns are not looked at.
+    that repeat an id are scored like any other. Ids are whole numbers. Texts are worked on in pieces of about 1 MB. Other columns
+    are not looked at. An empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

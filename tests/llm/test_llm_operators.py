@@ -313,6 +313,67 @@ def test_toxicity_on_held_out_rows_and_neutral_mentions(spark):
     assert (with_term < model.threshold).mean() >= 0.95
 
 
+def test_toxicity_equals_dense_regression(spark):
+    """Words by a regular expression, hashes on whole numbers, dense matrices."""
+    rng = random.Random(31)
+    groups = (("muslim", "christian"), ("women", "men"))
+    docs, labels = [], []
+    for i in range(120):
+        toxic = i % 3 == 0
+        docs.append((i, words(rng, 12, 40) + (" slur1 slur2" if toxic and i % 2 else "") + (" muslim" if rng.random() < (0.7 if toxic else 0.2) else "") + (" WOMEN" if i % 7 == 0 else "")))
+        labels.append((i, 3 if toxic else 0))
+
+    def columns(text):
+        out = set()
+        for w in plain_words(text):
+            raw = w.encode()
+            out.add(plain_hash(raw) >> 44)
+            out |= {plain_mix((plain_hash(raw[:n]) + n) & MASK) >> 44 for n in (4, 5)}
+        return out
+
+    y = np.array([min(v, 1) for _, v in labels], float)
+    have = [columns(t) for _, t in docs]
+    n1, n0 = y.sum(), len(y) - y.sum()
+    keep = []
+    for c in sorted(set().union(*have)):
+        x = np.array([c in h for h in have], float)
+        rate = x.mean()
+        z = (x[y > 0].sum() / n1 - x[y == 0].sum() / n0) / math.sqrt(max(rate * (1 - rate), 1e-12) * (1 / n1 + 1 / n0))
+        if x.sum() >= 2 and abs(z) >= 3:
+            keep.append(c)
+    x = np.array([[c in h for c in keep] for h in have], float)
+    swaps = []
+    for _, t in docs:
+        known = sorted({(plain_hash(w.encode()), w) for w in plain_words(t) if any(w in g for g in groups)})
+        for _, w in known:
+            g = next(g for g in groups if w in g)
+            for other in (g[(g.index(w) + 1) % len(g)], "person"):
+                change = lambda v: np.array([plain_columns(v).count(c) for c in keep], float)
+                plain_columns = lambda v: [plain_hash(v.encode()) >> 44, *(plain_mix((plain_hash(v.encode()[:n]) + n) & MASK) >> 44 for n in (4, 5))]
+                swaps.append(change(other) - change(w))
+    d = np.array(swaps)
+    train = np.arange(len(y)) % 5 != 4
+    weight = np.where(y > 0, 0.5 / y[train].sum(), 0.5 / (1 - y[train]).sum()) * train
+    w, bias = np.zeros(len(keep)), 0.0
+    m1, m2 = np.zeros(len(keep) + 1), np.zeros(len(keep) + 1)
+    for t in range(1, 201):
+        r = weight * (1 / (1 + np.exp(-(x @ w + bias))) - y)
+        g = np.append(x.T @ r + 1e-3 * w + 4.0 * d.T @ (d @ w) / len(d), r.sum())
+        m1, m2 = 0.9 * m1 + 0.1 * g, 0.99 * m2 + 0.01 * g * g
+        step = 0.1 * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-8)
+        w, bias = w - step[:-1], bias - step[-1]
+    model = toxicity.train(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, "doc_id bigint, toxic int"), groups=groups)
+    assert model.columns.tolist() == keep and np.allclose(model.values, w, atol=1e-6) and model.bias == pytest.approx(bias, abs=1e-6)
+    f1 = lambda cut: 2 * (y[~train] * ((x @ w + bias)[~train] >= cut)).sum() / (((x @ w + bias)[~train] >= cut).sum() + y[~train].sum())
+    assert f1(model.threshold) == max(f1(c) for c in x @ w + bias)
+    fresh_text = "slur1 muslim w3 w9"
+    got = toxicity.score(spark.createDataFrame([(1, fresh_text)], DOCS), model).first()
+    assert math.log(got.score / (1 - got.score)) == pytest.approx(sum(v for c, v in zip(keep, w, strict=True) if c in columns(fresh_text)) + bias, abs=1e-6)
+    long = " ".join(t for _, t in docs) + " z9" * 900_000
+    want = sum(v for c, v in zip(keep, w, strict=True) if c in columns(" ".join(t for _, t in docs) + " z9")) + bias
+    assert model.logits(pa.array(["x", long, None, long])) == pytest.approx([sum(v for c, v in zip(keep, w, strict=True) if c in columns("x")) + bias, want, bias, want], abs=1e-6)
+
+
 def test_toxicity_edges(spark):
     docs, labels, _ = toxic_fixture()
     model = toxicity.train(spark.createDataFrame(docs, DOCS), spark.createDataFrame([*labels, (None, 1), (3, None), (0, 0)], "doc_id bigint, toxic int"))
@@ -367,6 +428,65 @@ def test_language_presence_equals_sets():
         assert 0.9 * len(grams) <= got[i].sum() <= len(grams)  # hashes may meet
 
 
+def test_language_scores_equal_sets_and_least_squares(spark):
+    """Kernels from intersections of sets, the ridge regression as one least-squares problem, bounds row by row."""
+    docs = [r for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang").collect() if r.lang and r.text and len(r.text) > 20][:60]
+
+    def grams(text):
+        raw = bytes(b if 97 <= b <= 122 or b > 127 else 32 for b in text.lower().encode())
+        out = set()
+        for n in (1, 2, 3):
+            for k in range(len(raw) - n + 1):
+                if raw[k : k + n].strip(b" "):
+                    g = 0
+                    for b in raw[k : k + n]:
+                        g = (g * 0x01000193 + b) % (1 << 32)
+                    out.add((g + n) * 0x9E3779B1 % (1 << 32) >> 17)
+        return out
+
+    kernel = lambda a, b: len(a & b) / math.sqrt(len(a) * len(b))
+    rows_ = sorted((str(r.doc_id), r.lang, r.text) for r in docs)
+    sets = [grams(t) for _, _, t in rows_]
+    packed = [language_id.pack(p)[0] for _, _, t in rows_ for _, _, p in language_id.presences(pa.array([t]), (1, 2, 3))]
+    assert [set(np.flatnonzero(p).tolist()) for p in language_id.unpack(packed)] == sets
+    df = spark.createDataFrame(docs)
+    model = language_id.train(df, landmarks=24)
+    langs = [c for _, c, _ in rows_]
+    classes = sorted(set(langs))
+    assert model.classes == classes
+    marks = [set(np.flatnonzero(c).tolist()) for c in model.landmarks.T]
+    assert all(m in sets for m in marks)
+    k_mm = np.array([[kernel(a, b) for b in marks] for a in marks])
+    k_nm = np.array([[kernel(a, b) for b in marks] for a in sets])
+    weight = np.array([1 / langs.count(c) for c in langs])
+    weight *= len(langs) / weight.sum()
+    target = np.array([[1.0 if c == k else -1.0 for k in classes] for c in langs])
+    values, vectors = np.linalg.eigh(k_mm)
+    half = (vectors * np.sqrt(np.maximum(values, 0))) @ vectors.T
+    a = np.concatenate([np.sqrt(weight)[:, None] * k_nm, math.sqrt(1e-2 * len(langs) / 100) * half])
+    dual = np.linalg.lstsq(a, np.concatenate([np.sqrt(weight)[:, None] * target, np.zeros((len(marks), len(classes)))]), rcond=None)[0]
+    texts = [*(t for _, _, t in rows_), "zzz qqq", "", "Étion dans çouelle"]
+    got = language_id.identify(spark.createDataFrame(list(enumerate(texts)), DOCS), model).orderBy("doc_id").collect()
+    for t, r in zip(texts, got, strict=True):
+        g = grams(t)
+        if not g:
+            assert (r.language, r.language_score, r.accepted) == ("und", None, False)
+            continue
+        k = np.array([kernel(g, m) for m in marks])
+        s = sorted(zip(k @ dual, classes, strict=True))
+        low = model.bounds[max(0, sum(x <= len(g) for x in model.sizes) - 1)]
+        accepted = s[-1][0] >= low[0] and s[-1][0] - s[-2][0] >= low[1] and k.mean() >= low[2]
+        assert r.language_score == pytest.approx(s[-1][0], abs=2e-3) and r.accepted == accepted and r.language == (s[-1][1] if accepted else "und")
+
+
+def test_language_of_a_long_text_is_that_of_the_whole():
+    rng = random.Random(32)
+    text = " ".join("".join(rng.choice("abcdefghé") for _ in range(rng.randrange(2, 9))) for _ in range(500_000))
+    ((i, j, p),) = language_id.presences(pa.array([text]), (1, 2, 3))
+    body, offsets = K.raw_text(pa.array([text]))
+    assert (i, j) == (0, 1) and np.array_equal(p, language_id.presence(body, offsets, (1, 2, 3), 0, 1))
+
+
 def test_language_edges(spark):
     df = clashing(spark.createDataFrame([(*r, "en") for r in EDGE], DOCS + ", lang string"))
     model = language_id.train(spark.read.parquet(f"{DATA}/documents.parquet"))
