@@ -1,9 +1,7 @@
-"""Best-fit-decreasing packing of documents into fixed-length training sequences."""
+"""Bulk-synchronous best-fit packing of documents into fixed-length training sequences."""
 
 from __future__ import annotations
 
-import heapq
-from bisect import bisect_left, insort
 from collections.abc import Iterator
 from itertools import chain
 
@@ -29,55 +27,102 @@ def _word_heads(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return head
 
 
-def plan_bins(count: dict[int, int], capacity: int) -> tuple[np.ndarray, int]:
-    """Best-fit decreasing by bulk steps over size classes; (rows of (size, first rank, bin, per bin, position), bins).
+_STATE = "kind int, value bigint, first bigint, n bigint"
+_SWEPT = f"{_STATE}, rank bigint, per bigint, gap bigint, part int, open boolean"
+DOCS, GAPS, MATCH = 0, 1, 2
 
-    count gives the number of documents of each size below capacity. A step takes the largest size left and its successor
-    among the gaps (the smallest that holds it), fills the bins of that gap by rank (document i of the class goes to the
-    least bin not yet full), updates their gaps, and repeats; where no gap holds the size, bins are opened. This gives what
-    best-fit decreasing gives document by document, with ties among bins broken by the least bin. Steps and rows depend on
-    the capacity, not on the number of documents: bins are kept as runs of consecutive numbers.
+
+def _sweep(runs: list[tuple[int, int, int, int]]) -> Iterator[tuple]:
+    """One upward sweep over runs (kind, value, first, n) of documents of one size and of sequences of one gap; _SWEPT rows without part.
+
+    Documents not yet matched lie on a stack, the greatest on top. A gap takes from the top, which is the document of which it is
+    the successor among the gaps: as many of that size as it holds, the lesser ranks first. What a gap becomes is not matched
+    again in this sweep. open marks what found no partner here.
     """
-    gaps: dict[int, list[tuple[int, int]]] = {}
-    order: list[int] = []
-    rows: list[tuple[int, int, int, int, int]] = []
-    bins = 0
-
-    def put(gap: int, first: int, n: int) -> None:
-        if gap > 0 and n > 0:
-            if gap not in gaps:
-                gaps[gap] = []
-                insort(order, gap)
-            heapq.heappush(gaps[gap], (first, n))
-
-    for size in sorted(count, reverse=True):
-        left, rank = count[size], 0
-        while left:
-            at = bisect_left(order, size)
-            if at == len(order):
-                gap, per = capacity, capacity // size
-                need = -(-left // per)
-                first, n = bins, need
-                bins += need
-            else:
-                gap = order[at]
-                per = gap // size
-                need = -(-left // per)
-                first, n = heapq.heappop(gaps[gap])
-                if n > need:
-                    heapq.heappush(gaps[gap], (first + need, n - need))
-                    n = need
-                if not gaps[gap]:
-                    del gaps[gap]
-                    order.pop(at)
-            rows.append((size, rank, first, per, capacity - gap))
-            placed = min(left, n * per)
+    stack: list[list[int]] = []
+    for kind, value, first, n in sorted(runs, key=lambda r: (r[1], r[0], r[2])):
+        if kind == DOCS:
+            stack.append([value, first, n])
+            continue
+        while n and stack:
+            size, rank, left = stack[-1]
+            per = value // size
+            use = min(n, -(-left // per))
+            placed = min(left, use * per)
+            yield MATCH, size, first, placed, rank, per, value, False
             full, rest = divmod(placed, per)
-            put(gap - per * size, first, full)
-            put(gap - rest * size, first + full, 1 if rest else 0)
-            left -= placed
-            rank += placed
-    return np.array(rows, np.int64).reshape(-1, 5), bins
+            if full and value > per * size:
+                yield GAPS, value - per * size, first, full, None, None, None, False
+            if rest:
+                yield GAPS, value - rest * size, first + full, 1, None, None, None, False
+            first, n = first + use, n - use
+            if placed == left:
+                stack.pop()
+            else:
+                stack[-1] = [size, rank + placed, left - placed]
+        if n:
+            yield GAPS, value, first, n, None, None, None, True
+    for size, rank, left in stack:
+        yield DOCS, size, rank, left, None, None, None, True
+
+
+def _sweep_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_sweep() of what a partition holds: runs, which its range bounds."""
+    runs, part = [], None
+    for b in batches:
+        runs += zip(*(b.column(c).to_pylist() for c in ("kind", "value", "first", "n")), strict=True)
+        part = b.column("part")[0].as_py() if b.num_rows else part
+    out = list(_sweep(runs))
+    if out:
+        kinds = (pa.int32(), *[pa.int64()] * 6)
+        cols = [pa.array(c, k) for c, k in zip(zip(*(r[:7] for r in out), strict=True), kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays([*cols, pa.array([part] * len(out), pa.int32()), pa.array([r[7] for r in out])], ["kind", "value", "first", "n", "rank", "per", "gap", "part", "open"])
+
+
+def _sweep_round(state: DataFrame, runs: int, task_runs: int) -> DataFrame:
+    """A sweep over all runs by range partitions. What found no partner in its range is swept again with that of the ranges next to
+    it, by eights, until one range is left: the matches are those of one sweep over everything."""
+    parts = max(1, -(-runs // task_runs))
+    ranged = state.repartitionByRange(parts, "value", "kind", "first") if parts > 1 else state.repartition(1)
+    swept = materialize(ranged.withColumn("part", F.spark_partition_id()).mapInArrow(_sweep_task, _SWEPT))
+    done = swept if parts == 1 else swept.where("not open")
+    while parts > 1:
+        parts = -(-parts // 8)
+        left = swept.where("open").select("kind", "value", "first", "n", F.floor(F.col("part") / 8).cast("int").alias("part"))
+        swept = materialize(left.repartitionById(parts, F.col("part")).mapInArrow(_sweep_task, _SWEPT))
+        done = done.unionByName(swept if parts == 1 else swept.where("not open"))
+    return done
+
+
+def plan_bins(sizes: DataFrame, capacity: int, task_runs: int = 1 << 16) -> tuple[np.ndarray, int, int]:
+    """Bulk-synchronous best fit over (size, n); (rows of (size, first rank, bin, per bin, position), bins, rounds).
+
+    Documents of one size are alike but for their rank, so the sweeps go over runs of them, and of sequences (of consecutive
+    numbers) with equal gaps. A round sorts both by size, matches documents with their successors among the gaps by a sweep, where
+    documents that want one gap go by size and rank, updates the gaps and repeats. Before a round, documents that no gap holds
+    open sequences: one for each that is greater than half of one, else as many as their words fill. Every round is written to the
+    shared folder.
+    """
+    spark = sizes.sparkSession
+    state = sizes.select(F.lit(DOCS).alias("kind"), F.col("size").alias("value"), F.lit(0).cast("bigint").alias("first"), "n")
+    matches, bins, rounds = [], 0, 0
+    while True:
+        size = F.when(F.col("kind") == DOCS, F.col("value"))
+        least, most, runs = state.agg(F.min(size), F.max(F.when(F.col("kind") == GAPS, F.col("value"))), F.count("*")).first()
+        if least is None:
+            break
+        words, great = state.where(size > (most or 0)).agg(F.sum(size * F.col("n")), F.sum(F.when(2 * size > capacity, F.col("n")))).first()
+        state = state.where((F.col("kind") == DOCS) | (F.col("value") >= least))
+        if words:
+            opened = great or -(-words // capacity)
+            state = state.unionByName(spark.createDataFrame([(GAPS, capacity, bins, opened)], _STATE))
+            bins += opened
+        swept = _sweep_round(state, runs + 1, task_runs)
+        matches.append(swept.where(F.col("kind") == MATCH).select(F.col("value").alias("size"), "rank", F.col("first").alias("bin"), "per", (capacity - F.col("gap")).alias("position")))
+        state = swept.where(F.col("kind") != MATCH).select("kind", "value", "first", "n")
+        rounds += 1
+    rows = [tuple(r) for m in matches for r in m.toLocalIterator()]
+    return np.array(rows, np.int64).reshape(-1, 5), bins, rounds
 
 
 def _small(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -101,24 +146,25 @@ def pack(docs: DataFrame, capacity: int = 2048, with_text: bool = False, id_col:
     """(bin_id, position, doc_id, piece, start, n_tokens[, text]): every word of docs in a sequence of capacity words at most.
 
     Tokens are words between white space. A document of capacity words or more gives full pieces, each a sequence of its
-    own, and its rest is packed like a short document, by best-fit decreasing over the whole table: documents are
-    range-sorted by (size, id) and ranked, plan_bins() matches size classes with gaps in bulk, and every document finds its
+    own, and its rest is packed like a short document, by bulk best fit over the whole table: documents are range-sorted by
+    (size, id) and ranked, plan_bins() matches sizes with gaps in rounds of distributed sweeps, and every document finds its
     sequence by its rank. start is the piece's first word in the document, position its first word in the sequence.
-    Sequences are numbered from 0, those of full pieces after the others.
+    Sequences are numbered from 0, those of full pieces after the others. The driver gets a row for each pair of a range partition
+    and a size, and one for each match of a size with a run of gaps, which both grow with the capacity, not with the documents.
 
     Null, empty and blank texts have no pieces. Rows that repeat an id are documents of their own; rows of a null id too
-    (they rank first among equal sizes). Other columns are not looked at. An empty table gives no rows.
+    (they rank first among equal sizes). Documents of equal size and id are packed in no particular order. Ids are whole numbers.
+    Words are counted in pieces of about 1 MB of a long text. Other columns are not looked at. An empty table gives no rows.
     """
     spark = docs.sparkSession
     fields = "id bigint, size bigint, full bigint" + (", text string" if with_text else "")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            words = [np.zeros(0, np.int64)]
-            for _, _, body, offsets in K.slices(b.column(1), lower=False):
+            n = np.zeros(b.num_rows, np.int64)
+            for i, j, body, offsets, _ in K.pieces(b.column(1), lower=False, marks=~SPACE):
                 seen = np.concatenate([[0], np.cumsum(_word_heads(body, offsets))])
-                words.append(seen[offsets[1:]] - seen[offsets[:-1]])
-            n = np.concatenate(words)
+                n[i:j] += seen[offsets[1:]] - seen[offsets[:-1]]
             some = pa.array(n > 0)
             cols = [b.column(0), pa.array(n % capacity), pa.array(n // capacity), b.column(1)][: 4 if with_text else 3]
             yield pa.RecordBatch.from_arrays([c.filter(some) for c in cols], ["id", "size", "full", "text"][: len(cols)])
@@ -154,8 +200,8 @@ def pack(docs: DataFrame, capacity: int = 2048, with_text: bool = False, id_col:
         count[size] = count.get(size, 0) + n
         full_at.setdefault(part, fulls)
         fulls += full
-    count.pop(0, None)
-    plan, bins = plan_bins(count, capacity)
+    sizes = ranked.where("size > 0").groupBy("size").agg(F.count("*").alias("n"))
+    plan, bins, _ = plan_bins(materialize(sizes), capacity)
     plan_key = (plan[:, 0] << SHIFT) + plan[:, 1]
     by = np.argsort(plan_key)
     plan, plan_key = plan[by], plan_key[by]

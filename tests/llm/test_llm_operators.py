@@ -671,12 +671,38 @@ def plain_bfd(sizes, capacity):
     return sorted(out), len(gaps)
 
 
-def test_packing_equals_best_fit_decreasing(spark):
+def plain_rounds(sizes, capacity):
+    """The rounds one sequence and one document at a time; (bin, position, id) of all, bins."""
+    left = defaultdict(list)
+    for i, n in sorted(sizes):
+        left[n].append(i)
+    gaps, out = [], []
+    while any(left.values()):
+        stuck = [n for n, ids in left.items() for _ in ids if n > max(gaps, default=0)]
+        great = sum(2 * n > capacity for n in stuck)
+        gaps += [capacity] * (great or -(-sum(stuck) // capacity))
+        for b in sorted(range(len(gaps)), key=lambda b: (gaps[b], b)):
+            best = max((n for n, ids in left.items() if ids and n <= gaps[b]), default=None)
+            for _ in range(gaps[b] // best if best else 0):
+                if left[best]:
+                    out.append((b, capacity - gaps[b], left[best].pop(0)))
+                    gaps[b] -= best
+    return sorted(out), len(gaps)
+
+
+def test_packing_equals_plain_rounds_and_is_as_good_as_best_fit_decreasing(spark, monkeypatch):
     rng = random.Random(10)
-    docs = [(i, words(rng, rng.choice([1, 2, 5, 9, 20, 33, 50, 64, 100, 130]))) for i in range(200)]
-    want, bins = plain_bfd([(i, len(t.split()) % 64) for i, t in docs if len(t.split()) % 64], 64)
-    got = best_fit.pack(spark.createDataFrame(docs, DOCS), 64, with_text=True).collect()
-    assert sorted((r.bin_id, r.position, r.doc_id) for r in got if r.bin_id < bins) == want
+    docs = [(i, words(rng, rng.choice([1, 2, 5, 9, 20, 33, 50, 64, 100, 130, rng.randrange(1, 64)]))) for i in range(300)]
+    sizes = [(i, len(t.split()) % 64) for i, t in docs if len(t.split()) % 64]
+    want, bins = plain_rounds(sizes, 64)
+    assert bins <= plain_bfd(sizes, 64)[1] + 1
+    df = spark.createDataFrame(docs, DOCS)
+    for task_runs in (1 << 16, 5):  # all runs swept by one task, and by many
+        plan_bins = best_fit.plan_bins
+        monkeypatch.setattr(best_fit, "plan_bins", lambda s, c, r=task_runs, f=plan_bins: f(s, c, r))
+        got = best_fit.pack(df, 64, with_text=True).collect()
+        monkeypatch.setattr(best_fit, "plan_bins", plan_bins)
+        assert sorted((r.bin_id, r.position, r.doc_id) for r in got if r.bin_id < bins) == want
     full = sorted(r.bin_id for r in got if r.bin_id >= bins)
     assert full == list(range(bins, bins + len(full))) and len(full) == sum(len(t.split()) // 64 for _, t in docs)
     whole = defaultdict(list)
@@ -686,6 +712,17 @@ def test_packing_equals_best_fit_decreasing(spark):
     assert {d: "".join(t) for d, t in whole.items()} == dict(docs)
 
 
+def test_packing_of_long_texts_and_of_sizes_as_documents_have_them(spark):
+    long = "ab  " * 1_500_000
+    got = best_fit.pack(spark.createDataFrame([(1, long), (2, "y" * 3_000_000), (3, " " + long)], DOCS)).collect()
+    assert Counter(r.doc_id for r in got) == Counter({1: 733, 2: 1, 3: 733}) and sum(r.n_tokens for r in got) == 3_000_001
+    rng = np.random.default_rng(33)
+    sizes = Counter(np.minimum(2047, np.exp(rng.normal(5.6, 1.2, 20_000)).astype(int) + 1).tolist())
+    plan, bins, rounds = best_fit.plan_bins(spark.createDataFrame(sorted(sizes.items()), "size bigint, n bigint"), 2048)
+    least = -(-sum(k * n for k, n in sizes.items()) // 2048)
+    assert bins <= 1.01 * least + 1 and rounds < 40
+
+
 def test_packing_edges(spark):
     df = clashing(spark.createDataFrame(EDGE, DOCS))
     got = best_fit.pack(df, 8, with_text=True).collect()
