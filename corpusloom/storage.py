@@ -31,8 +31,57 @@ def new_path(spark: SparkSession, kind: str = "table") -> str:
     return os.path.join(shared_dir(spark), f"{kind}-{uuid.uuid4().hex}")
 
 
+_written: list[tuple[SparkSession, str]] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@atexit.register
+def _delete_all() -> None:
+    """What is still there when the driver ends normally; the session may be gone by then."""
+    for spark, path in _written:
+        try:
+            if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+                _delete(spark, path)
+        except Exception:  # noqa: BLE001, PERF203
+            return
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder: lineage ends there and survives lost executors."""
-    path = new_path(df.sparkSession)
+    """df as a table in the shared folder: lineage ends there and survives lost executors.
+
+    The table goes with release(), or when the driver ends.
+    """
+    spark = df.sparkSession
+    path = new_path(spark)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written.append((spark, path))
+    out.scratch_path = path
+    return out
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Deletes tables of materialize() that nothing reads any more; other DataFrames and None are passed over."""
+    for t in tables:
+        path = t.__dict__.get("scratch_path") if t is not None else None
+        if path is not None:
+            _delete(t.sparkSession, path)
+            _written[:] = [(s, p) for s, p in _written if p != path]
+
+
+def mark() -> int:
+    """A point to go back to with release_since()."""
+    return len(_written)
+
+
+def release_since(point: int, *keep: DataFrame) -> None:
+    """Deletes all tables written after a mark() but those in keep."""
+    kept = {t.__dict__.get("scratch_path") for t in keep}
+    for spark, path in _written[point:]:
+        if path not in kept:
+            _delete(spark, path)
+    _written[point:] = [(s, p) for s, p in _written[point:] if p in kept]
