@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,39 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
+from ..storage import mark, materialize, release, release_since
+
+__all__ = ["anti", "fresh", "mark", "materialize", "partitions", "release", "release_since", "table", "whole_groups"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``.
-
-    Only where the session names none (tests, local mode) is a folder of our own made and removed at exit.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    have = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if have.isDefined():
-        return have.get()
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="corpusloom-")
-    atexit.register(shutil.rmtree, made, ignore_errors=True)
-    spark.sparkContext.setCheckpointDir(made)
-    return f"file://{made}"
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: lineage ends there and survives lost executors."""
-    spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), f"table-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df does not have."""
     taken = {c.lower() for c in df.columns}
@@ -82,7 +53,3 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tab
             held.append(b)
     if held:
         yield pa.Table.from_batches(held)
-
-
-def null_if_blank(c):
-    return F.when(F.length(F.trim(c)) > 0, c)

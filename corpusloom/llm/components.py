@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, release
 
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
@@ -26,12 +26,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """(node, component) of every node in edges (two bigint columns); a component is named by its least node.
 
     Rows with a null or with equal ends add nothing. Each round contracts paths, so rounds grow with the logarithm of the
-    longest one; every round is written to the shared folder. No edges give no rows.
+    longest one; every round is written to the shared folder, and deleted after the next. No edges give no rows.
     """
     pairs = materialize(edges.toDF("u", "v").where("u is not null and v is not null and u <> v").distinct())
     before = None
     for _ in range(max_rounds):
-        pairs = materialize(_star(_star(pairs, True), False))
+        had, pairs = pairs, materialize(_star(_star(pairs, True), False))
+        release(had)
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -820,30 +820,44 @@ def plain_signature(text):
     return sig, tuple(255 if x is None else x % 255 for x in low)
 
 
+def plain_pairs(made):
+    """Pairs of different signatures and sketches that are near duplicates."""
+    values = sorted(set(made.values()))
+    for i, x in enumerate(values):
+        for y in values[i + 1 :]:
+            if (x[0] ^ y[0]).bit_count() <= 14:
+                some = sum(p != 255 or q != 255 for p, q in zip(x[1], y[1], strict=True))
+                if sum(p == q != 255 for p, q in zip(x[1], y[1], strict=True)) >= 0.5 * some:
+                    yield x, y
+
+
+def plain_links(made):
+    return Counter(v for pair in plain_pairs(made) for v in pair)
+
+
+def plain_groups(docs):
+    """The least id of each document's group."""
+    made = {d: s for d, t in docs if (s := plain_signature(t or "")) is not None}
+    group = {v: {v} for v in made.values()}
+    for x, y in plain_pairs(made):
+        if group[x] is not group[y]:
+            group[x] |= group[y]
+            for v in group[y]:
+                group[v] = group[x]
+    least = {}
+    for d in sorted(made):
+        least.setdefault(id(group[made[d]]), d)
+    return {d: least[id(group[v])] for d, v in made.items()}
+
+
 def test_near_duplicates_equal_all_pairs(spark):
     """Signatures, verification and groups against all pairs; at this size the forest finds every pair."""
     docs = copies_fixture()[0] + [(5000, "one"), (5001, "One!"), (5002, "two"), (5003, ""), (5004, None)]
     made = {d: s for d, t in docs if (s := plain_signature(t or "")) is not None}
     got = {r.id: (r.sig % (1 << 64), tuple(r.sketch)) for r in simhash_forest.signatures(spark.createDataFrame(docs, DOCS)).collect()}
     assert got == made
-    classes = sorted({v: min(d for d in made if made[d] == v) for v in made.values()}.items(), key=lambda x: x[1])
-    parent, links = {d: d for _, d in classes}, Counter()
-    for i, (x, a) in enumerate(classes):
-        for y, b in classes[i + 1 :]:
-            some = sum(p != 255 or q != 255 for p, q in zip(x[1], y[1], strict=True))
-            same = sum(p == q != 255 for p, q in zip(x[1], y[1], strict=True))
-            if (x[0] ^ y[0]).bit_count() <= 14 and same >= 0.5 * some:
-                links[a] += 1
-                links[b] += 1
-                ra, rb = a, b
-                while parent[ra] != ra:
-                    ra = parent[ra]
-                while parent[rb] != rb:
-                    rb = parent[rb]
-                parent[max(ra, rb)] = min(ra, rb)
-    root = lambda d: d if parent[d] == d else root(parent[d])
-    first = {v: d for v, d in classes}
-    want = sorted((d, root(first[v]), links[first[v]]) for d, v in made.items() if root(first[v]) != d)
+    root, links = plain_groups(docs), plain_links(made)
+    want = sorted((d, root[d], links[made[d]]) for d in made if root[d] != d)
     assert sorted(map(tuple, simhash_forest.near_duplicates(spark.createDataFrame(docs, DOCS)).collect())) == want
 
 
@@ -914,37 +928,90 @@ def test_query_equals_its_sql(spark, name):
     assert rows(df) == sorted(want, key=repr)
 
 
-def test_pipeline_stages(spark):
+def plain_judge(model, text):
+    """Whether a text is accepted, by sets and one row at a time."""
+    raw = bytes(b if 97 <= b <= 122 or b > 127 else 32 for b in (text or "").lower().encode())
+    grams = set()
+    for n in (1, 2, 3):
+        for k in range(len(raw) - n + 1):
+            if raw[k : k + n].strip(b" "):
+                g = 0
+                for b in raw[k : k + n]:
+                    g = (g * 0x01000193 + b) % (1 << 32)
+                grams.add((g + n) * 0x9E3779B1 % (1 << 32) >> 17)
+    if not grams:
+        return None
+    k = np.array([len(grams & m) / math.sqrt(len(grams) * len(m)) for m in ({*np.flatnonzero(c).tolist()} for c in model.landmarks.T)])
+    s = sorted((k @ model.weights).tolist())
+    low = model.bounds[max(0, sum(x <= len(grams) for x in model.sizes) - 1)]
+    return min(s[-1] - low[0], s[-1] - s[-2] - low[1], k.mean() - low[2])
+
+
+def test_pipeline_stages_equal_brute_force(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "simhash_near_dedup", "substring_dedup", "benchmark_decontamination", "best_fit_packing"]
-    have = docs
-    kept = []
+    tables = [docs]
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        out = corpus_pipeline.materialize(stage(spark, have, DATA))
-        assert out.columns == docs.columns and out.schema == docs.schema
-        ids = {r.doc_id for r in out.select("doc_id").collect()}
-        assert ids <= {r.doc_id for r in have.select("doc_id").collect()}
-        kept.append((have, out, ids))
-        have = out
-    before, _, ids = kept[1]
-    gone = {r.doc_id for r in simhash_forest.near_duplicates(before).collect()}
-    assert ids == {r.doc_id for r in before.collect()} - gone
-    before, after, _ = kept[2]
-    texts = [(r.doc_id, r.text) for r in before.collect()]
+        out = corpus_pipeline.materialize(stage(spark, tables[-1], DATA))
+        assert out.schema == docs.schema
+        tables.append(out)
+    texts = [{r.doc_id: r.text for r in t.collect()} for t in tables]
+    model = language_id.train(docs)
+    margin = {d: plain_judge(model, t) for d, t in texts[0].items()}
+    assert all((d in texts[1]) == (m is not None and m >= 0) for d, m in margin.items() if m is None or abs(m) > 1e-5)
+    gone = {d for d, root in plain_groups(texts[1].items()).items() if root != d}
+    assert set(texts[2]) == set(texts[1]) - gone and gone
     cut = defaultdict(list)
-    for d, a, n, *_ in brute_repeats(texts):
+    for d, a, n, *_ in brute_repeats(texts[2].items()):
         cut[d].append((a, n))
     want = {}
-    for d, t in texts:
+    for d, t in texts[2].items():
         raw = t.encode()
         for a, n in sorted(cut[d], reverse=True):
             raw = raw[:a] + raw[a + n :]
         if not cut[d] or raw.strip():
             want[d] = raw.decode()
-    assert {r.doc_id: r.text for r in after.collect()} == want
+    assert texts[3] == want and cut
+    items = [r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
+    trigrams = lambda w: set(zip(w, w[1:], w[2:], strict=False))
+    leaks = set()
+    for d, t in texts[3].items():
+        w = plain_words(t)
+        for x in items:
+            v = plain_words(x)
+            if trigrams(v) & trigrams(w) and len({*v} & {*w}) and sum(y in set(w) for y in v) >= len(v) / 2 and plain_score(x, t) >= 0.5:
+                leaks.add(d)
+    assert set(texts[4]) == set(texts[3]) - leaks and leaks
     packed = corpus_pipeline.run(spark, DATA).collect()
-    assert {r.doc_id for r in packed} == {r.doc_id for r in have.collect() if r.text.split()}
-    used = Counter()
-    for r in packed:
-        used[r.bin_id] += r.n_tokens
-    assert max(used.values()) <= 2048 and sum(used.values()) == sum(len(r.text.split()) for r in have.collect())
+    sizes = [(d, len(t.split()) % 2048) for d, t in texts[4].items() if len(t.split()) % 2048]
+    plain, bins = plain_rounds(sizes, 2048)
+    assert sorted((r.bin_id, r.position, r.doc_id) for r in packed if r.bin_id < bins) == plain
+    whole = defaultdict(str)
+    for r in sorted(packed, key=lambda r: (r.doc_id, r.piece)):
+        whole[r.doc_id] += r.text
+    assert whole == {d: t for d, t in texts[4].items() if t.split()}
+
+
+def test_pipeline_edges(spark):
+    source = spark.read.parquet(f"{DATA}/documents.parquet")
+    odd = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in [(None, "is the and of that with for"), (9001, None), (9002, ""), (9003, " \n"), (9004, "!!"), (9005, "the and of"), (9005, "the and of")]], source.schema)
+    docs = clashing(source.unionByName(odd))
+    for name in ("kept", "cut", "label", "accepted", "d1", "item", "rank", "bin_id", "sk", "value"):
+        docs = docs.withColumn(name, F.lit(7))
+    docs = corpus_pipeline.materialize(docs)
+    before = None
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.materialize(stage(spark, docs, DATA))
+        assert out.columns == docs.columns
+        got = Counter(r.doc_id for r in out.where("doc_id is null or doc_id > 9000").collect())
+        if name == "language_id":
+            assert not {9001, 9002, 9003, 9004} & set(got)
+            before = got
+        else:  # later stages leave null ids alone, and repeated ids stay or go together
+            assert got[None] == before[None] and got[9005] in (0, before[9005])
+        assert stage(spark, docs.limit(0), DATA).count() == 0
+        docs = out
+    assert corpus_pipeline.pack_sequences(spark, docs.limit(0), DATA).count() == 0
+    for _, stage in corpus_pipeline.STAGES[1:-1]:  # rows that language ID would not let through
+        assert stage(spark, clashing(odd), DATA).where("doc_id is null or doc_id < 9005").count() == 5
+    assert {r.doc_id for r in corpus_pipeline.pack_sequences(spark, clashing(odd), DATA).collect()} == {None, 9004, 9005}
