@@ -47,15 +47,19 @@ def _term_columns(term: str) -> np.ndarray:
     return np.concatenate(word_features(body, offsets)[0])
 
 
-def presences(text, known: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray, list[tuple[int, int]]]]:
+def presences(text, known: np.ndarray | None = None, used: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray, list[tuple[int, int]]]]:
     """(first row, row after the last, sorted keys row << BITS | column, (row, hash) of known words) of rows; rows count from the first.
 
-    A long text is gone through in pieces.
+    used, if given, tells which columns are wanted. A long text is gone through in pieces.
     """
     held = None
     for i, j, body, offsets, at in K.pieces(text):
         features, row, h = word_features(body, offsets)
-        key = np.unique(np.concatenate([(row << BITS) | c for c in features]))
+        key = []
+        for c in features:
+            at_used = slice(None) if used is None else np.flatnonzero(used[c])
+            key.append((row[at_used] << BITS) | c[at_used])
+        key = np.unique(np.concatenate(key))
         term = np.flatnonzero(np.isin(h, known)) if known is not None else np.zeros(0, np.int64)
         terms = set(zip(row[term].tolist(), h[term].tolist(), strict=True))
         if held is not None and at:
@@ -93,8 +97,7 @@ class ToxicityModel:
         w[self.columns] = self.values
         used = w != 0
         out = []
-        for i, j, key, _ in presences(text):
-            key = key[used[key & ((1 << BITS) - 1)]]
+        for i, j, key, _ in presences(text, used=used):
             out.append(self.bias + np.bincount(key >> BITS, weights=w[key & ((1 << BITS) - 1)], minlength=j - i))
         return np.concatenate(out) if out else np.zeros(0)
 
