@@ -16,7 +16,9 @@ class RetryableError(Exception):
 
 
 class EmbeddingClient(Protocol):
-    def embed_batch(self, texts: list[str]) -> list[list[float]]: ...
+    """embed_batch gives a vector for each text in their order, or (index, vector) pairs in any order."""
+
+    def embed_batch(self, texts: list[str]) -> list[list[float]] | list[tuple[int, list[float]]]: ...
 
 
 class HashingClient:
@@ -26,13 +28,13 @@ class HashingClient:
         self.dim = dim
 
     def embed_batch(self, texts: list[str]) -> list[list[float]]:
-        from hashlib import blake2b
+        from hashlib import md5
 
         out = np.zeros((len(texts), self.dim))
         for i, t in enumerate(texts):
             for w in t.lower().split():
-                h = int.from_bytes(blake2b(w.encode(), digest_size=8).digest(), "little")
-                out[i, h % self.dim] += 1 if h >> 63 else -1
+                h = int.from_bytes(md5(w.encode()).digest()[:8], "big")
+                out[i, (h >> 4) % self.dim] += 1 if h & 8 else -1
         norm = np.sqrt((out * out).sum(axis=1, keepdims=True))
         return (out / np.where(norm > 0, norm, 1)).astype(np.float32).tolist()
 
@@ -47,6 +49,11 @@ def call(client: EmbeddingClient, texts: list[str], max_retries: int = 5, first_
             if attempt + 1 >= max(1, max_retries):
                 raise
             sleep(first_delay * 2 ** min(attempt, 5))
+    if got and isinstance(got[0], tuple):
+        got = sorted(got, key=lambda x: x[0])
+        if [i for i, _ in got] != list(range(len(got))):
+            raise ValueError("indices of vectors are not those of the texts")
+        got = [v for _, v in got]
     if len(got) != len(texts):
         raise ValueError(f"{len(texts)} texts gave {len(got)} vectors")
     return got
@@ -72,3 +79,11 @@ def embed(chunks: DataFrame, make_client: Callable[[], EmbeddingClient] = Hashin
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(vectors, pa.list_(pa.float32()))], names)
 
     return chunks.mapInArrow(run, T.StructType([*chunks.schema.fields, T.StructField(out_col, T.ArrayType(T.FloatType()))]))
+
+
+def embed_totals(pages: DataFrame, kept: DataFrame, chunks: DataFrame) -> DataFrame:
+    """One row (pages, skipped, chunks) of a run that embedded the chunks of the pages in kept."""
+    from pyspark.sql import functions as F
+
+    row = pages.agg(F.count("*").alias("pages")).crossJoin(kept.agg(F.count("*").alias("k"))).crossJoin(chunks.agg(F.count("*").alias("chunks")))  # a row each
+    return row.select("pages", (F.col("pages") - F.col("k")).alias("skipped"), "chunks")

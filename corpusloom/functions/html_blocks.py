@@ -19,28 +19,17 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 _P_ENDERS = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 HEADINGS = {f"h{n}": n for n in range(1, 7)}
 SKIPPED_TAGS = frozenset("aside nav footer header figure noscript sup table style script".split())
-
-
-def _classes() -> frozenset[str]:
-    """Class names of page furniture, by family."""
-    families = {
-        "navbox": " -title -subgroup -styles -odd -list-with-group -list -inner -image -group -even -columns-table -abovebelow",
-        "infobox": " -title -subheader -signature -label -image -header -full-data -data -caption -above",
-        "sidebar": " -title -navbar -content",
-        "mbox": "-text -small -image",
-        "mw": "-references-wrap -references-columns -portlet-sticky-header-toc -normal-catlinks -hidden-catlinks -footer-container -footer -editsection-bracket -editsection -collapsible-content -collapsible",
-        "references": " -column-width",
-        "reference": " -text",
-        "thumb": " inner image caption",
-        "toc": " colours",
-        "vector": "-sticky-header-toc -page-titlebar-toc",
-    }
-    out = {f + x for f, xs in families.items() for x in ([""] if xs.startswith(" ") else []) + xs.split()}
-    single = "vertical-navbox shortdescription reflist refbegin printfooter pie-thumb ombox nowraplinks multiple-issues messagebox metadata imbox hatnote fmbox dablink collapsible-list cmbox catlinks autocollapse authority-control ambox"
-    return frozenset(out | set(single.split()))
-
-
-SKIPPED_CLASSES = _classes()
+#: Class names of page furniture, as the data of the rule has them.
+SKIPPED_CLASSES = frozenset(
+    """ambox authority-control autocollapse catlinks cmbox collapsible-list dablink fmbox hatnote imbox infobox infobox-above infobox-caption
+    infobox-data infobox-full-data infobox-header infobox-image infobox-label infobox-signature infobox-subheader infobox-title mbox-image mbox-small
+    mbox-text messagebox metadata multiple-issues mw-collapsible mw-collapsible-content mw-editsection mw-editsection-bracket mw-footer
+    mw-footer-container mw-hidden-catlinks mw-normal-catlinks mw-portlet-sticky-header-toc mw-references-columns mw-references-wrap navbox
+    navbox-abovebelow navbox-columns-table navbox-even navbox-group navbox-image navbox-inner navbox-list navbox-list-with-group navbox-odd
+    navbox-styles navbox-subgroup navbox-title nowraplinks ombox pie-thumb printfooter refbegin reference reference-text references
+    references-column-width reflist shortdescription sidebar sidebar-content sidebar-navbar sidebar-title thumb thumbcaption thumbimage thumbinner toc
+    toccolours vector-page-titlebar-toc vector-sticky-header-toc vertical-navbox""".split()
+)
 SKIPPED_PREFIXES = ("toclimit-", "vector-toc")
 _SPACES = re.compile(r"\s+")
 

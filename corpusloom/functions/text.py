@@ -11,18 +11,18 @@ from pyspark.sql import functions as F
 SPACE = r"[\s\x1c-\x1f\x85   -     　]"
 
 STOPWORDS = frozenset(
-    """very youre your you're you would with will who whom which where when what were was under to_ this they there then them their the
-    that than such some should per over ours our only onto not most more many much just its it's into how his hers her have has had from
-    for ever each does done did could can but been are any and also all able about""".split()
-) - {"to_"}
-
-NAVIGATION_SECTIONS = tuple(sorted(["see also", "works cited", "further reading", "external links", "sources", "notes", "citations", "bibliography", "references", "reference"]))
-NAVIGATION_PHRASES = tuple(
-    sorted(
-        ["wikidata", "wikipedia articles", "use mdy dates", "use dmy dates", "short description", "portal", "pages using", "lists of", "gnd", "cs1:", "cs1", "commons category", "category portal", "bnf data", "articles with", "articles needing", "all articles"]
-    )
+    """able about all also and any are been but can could did does done each ever for from had has have her hers his how into it's its just many more
+    most much not only onto our ours over per should some such than that the their them then there they this under very was were what when where which
+    who whom will with would you you're your youre""".split()
 )
 
+#: Sections and phrases of link lists.
+NAVIGATION_SECTIONS = ("bibliography", "citations", "external links", "further reading", "notes", "reference", "references", "see also", "sources", "works cited")
+NAVIGATION_PHRASES = (
+    "all articles", "articles needing", "articles with", "bnf data", "category portal", "commons category", "cs1", "cs1:", "gnd", "lists of", "pages using", "portal", "short description", "use dmy dates",
+    "use mdy dates", "wikidata", "wikipedia articles",
+)
+
 
 def squeeze(text: Column) -> Column:
     """Runs of white space become one blank, ends are trimmed."""
@@ -112,3 +112,27 @@ def rejection(text: Column, min_chars: int, max_chars: int, include_keywords: It
             hit |= lower.contains(w)
         reason = reason.when(~hit, "missing include_keyword")
     return reason
+
+
+def header(headers: Column, name: str) -> Column:
+    """A header of a map of them, whatever the case of its name: trimmed, null where it is blank or missing."""
+    value = F.trim(F.element_at(F.map_values(F.map_filter(headers, lambda k, _: F.lower(k) == name.lower())), 1))
+    return F.when(F.size(F.map_filter(headers, lambda k, _: F.lower(k) == name.lower())) > 0, F.when(value != "", value))
+
+
+_EPOCH = "1970-01-01 00:00:00"
+
+
+def epoch_ms(ts: Column) -> Column:
+    """Milliseconds since 1970 of a time without zone, taken as UTC whatever the session's zone; parts of one are cut off."""
+    return F.timestamp_diff("MILLISECOND", F.lit(_EPOCH).cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
+
+
+def from_epoch_ms(ms: Column) -> Column:
+    """The time without zone, in UTC, of milliseconds since 1970."""
+    return F.timestamp_add("MILLISECOND", ms, F.lit(_EPOCH).cast("timestamp_ntz"))
+
+
+def crc32(body: Column) -> Column:
+    """Checksum of the raw bytes."""
+    return F.crc32(body.cast("binary"))

@@ -11,8 +11,8 @@ MAX_URL_BYTES = 256
 _PARTS = r"^([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?$"
 
 #: Namespaces and query fragments of pages that are not articles.
-NON_ARTICLE_NAMESPACES = tuple(sorted(f"{n}:" for n in "MOS Draft Book Category Portal_talk Portal Template File User_talk User Talk Wikipedia Wikipedia_talk Help_talk Help Special".split()))
-NON_ARTICLE_QUERIES = tuple(sorted(["Special:", *(f"{n}=" for n in "curid diff oldid useskin returnto feed action".split()), "printable=yes"]))
+NON_ARTICLE_NAMESPACES = ("Book:", "Category:", "Draft:", "File:", "Help:", "Help_talk:", "MOS:", "Portal:", "Portal_talk:", "Special:", "Talk:", "Template:", "User:", "User_talk:", "Wikipedia:", "Wikipedia_talk:")
+NON_ARTICLE_QUERIES = ("Special:", "action=", "curid=", "diff=", "feed=", "oldid=", "printable=yes", "returnto=", "useskin=")
 
 
 def url_scheme(url: Column) -> Column:
@@ -84,8 +84,8 @@ def all_of(*predicates: UrlPredicate) -> UrlPredicate:
 
 
 def hash_shard(url: Column, shards: int) -> Column:
-    """Owner by a hash of the whole URL."""
-    return F.pmod(F.xxhash64(url), F.lit(max(1, shards))).cast("int")
+    """Owner by the first 60 bits of the whole URL's MD5, which any other system can tell too."""
+    return F.pmod(F.conv(F.substring(F.md5(url.cast("binary")), 1, 15), 16, 10).cast("bigint"), F.lit(max(1, shards))).cast("int")
 
 
 def _letter(c: Column) -> Column:
@@ -108,3 +108,37 @@ def title_bucket(url: Column, buckets: int, with_namespace: bool = False) -> Col
 def shard_owner(url: Column, shards: int, buckets: int = 26, with_namespace: bool = False) -> Column:
     """Owner by title bucket, by hash where there is none."""
     return F.coalesce(F.pmod(title_bucket(url, buckets, with_namespace), F.lit(max(1, shards))), hash_shard(url, shards)).cast("int")
+
+
+def repair_url(url: Column) -> Column:
+    """url as a lenient parser reads it: trimmed, tabs and line ends taken out, blanks and quotes encoded, backslashes of the path turned."""
+    bare = F.replace(F.trim(F.regexp_replace(url, r"[\t\r\n]", "")), F.lit("\\"), F.lit("/"))
+    return F.replace(F.replace(F.replace(F.replace(bare, F.lit(" "), F.lit("%20")), F.lit('"'), F.lit("%22")), F.lit("<"), F.lit("%3C")), F.lit(">"), F.lit("%3E"))
+
+
+def join_url(base: Column, href: Column) -> Column:
+    """href resolved against base: whole URLs, //host, /path, ?query, #fragment, and paths beside the base's. Null if either is.
+
+    Segments . and .. are taken out. Where the base has no scheme and host, only whole URLs resolve; others are null.
+    """
+    root = F.concat(url_scheme(base), F.lit("://"), F.regexp_extract(base, _PARTS, 2))
+    folder = F.regexp_extract(url_path(base), r"^(.*/)[^/]*$", 1)
+    path = F.regexp_extract(href, r"^([^?#]*)", 1)
+    tail = F.substring(href, F.length(path) + 1, F.lit(1 << 30))
+    full = F.when(path.startswith("/"), path).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path))
+    steps = F.split(full, "/")
+    push = lambda done, x: F.when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).when(x == ".", done).otherwise(F.concat(done, F.array(x)))
+    clean = F.aggregate(steps, F.array().cast("array<string>"), push)
+    clean = F.when(F.element_at(steps, -1).isin(".", ".."), F.concat(clean, F.array(F.lit("")))).otherwise(clean)
+    query = F.coalesce(F.concat(F.lit("?"), url_query(base)), F.lit(""))
+    own_path = F.when(url_path(base) == "", F.lit("/")).otherwise(url_path(base))
+    joined = (
+        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
+        .when(url_host(base) == "", F.lit(None).cast("string"))
+        .when(href.startswith("//"), F.concat(url_scheme(base), F.lit(":"), href))
+        .when(href == "", F.concat(root, own_path, query))
+        .when(href.startswith("#"), F.concat(root, own_path, query, href))
+        .when(href.startswith("?"), F.concat(root, own_path, href))
+        .otherwise(F.concat(root, F.array_join(clean, "/"), tail))
+    )
+    return F.when(base.isNotNull(), joined)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -104,3 +105,81 @@ def bfs(edges: DataFrame, seeds: DataFrame, max_depth: int = 4) -> DataFrame:
 def dedupe_exact(rows: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The least id of each distinct text. Grouping goes by a 256-bit digest, so texts are not shuffled; null texts are one group."""
     return rows.groupBy(F.sha2(F.col(text_col).cast("binary"), 256).alias("digest")).agg(F.min(id_col).alias(id_col)).select(id_col)
+
+
+class Crawl(NamedTuple):
+    """tasks: (url, depth, politeness_delay_ms, fetched) of every URL that was taken up; links: (page_url, link, depth), those accepted."""
+
+    tasks: DataFrame
+    links: DataFrame
+
+
+def fetch(tasks: DataFrame, pages: DataFrame) -> DataFrame:
+    """tasks (url, ...) with the page (url, status, html) that stands under their URL; those without a page, or with a status beyond 2xx, go."""
+    there = pages.where("status between 200 and 299").select(F.col("url").alias("f_url"), "html")
+    return tasks.join(there, F.col("url") == F.col("f_url")).drop("f_url")
+
+
+def crawl(
+    seeds: DataFrame,
+    pages: DataFrame,
+    max_depth: int = 4,
+    domains: Iterable[str] | None = None,
+    url_filter: Callable[[Column], Column] | None = None,
+    max_links: int | None = None,
+    politeness_ms: int = 250,
+) -> Crawl:
+    """A breadth-first crawl of pages (url, status, html; one row a URL) from seeds (url), which pass no filter.
+
+    A level fetches its tasks, takes the accepted links of pages above max_depth, and makes tasks of those not seen before, each
+    once. Every level is written to the shared folder, so its lineage is short and a lost executor costs a level at most. Null
+    seeds are left out; a URL without a page is a task that was not fetched.
+    """
+    links_of = lambda level: accept_links(extract_links(level.select(F.lit(0).alias("page_id"), "url", "html")), domains, url_filter, max_links)
+    level = materialize(seeds.select("url").where("url is not null").distinct().withColumn("depth", F.lit(0).cast("smallint")))
+    seen, links = level, []
+    depth = 0
+    while True:
+        got = fetch(level, pages)
+        if depth >= max_depth:
+            break
+        found = materialize(links_of(got).select("page_url", "link").withColumn("depth", F.lit(depth).cast("smallint")))
+        links.append(found)
+        level = materialize(next_tasks(found, seen.select("url"), depth))
+        if level.isEmpty():
+            break
+        seen = seen.unionByName(level)
+        depth += 1
+    ok = pages.where("status between 200 and 299").select(F.col("url").alias("ok_url")).distinct()
+    tasks = seen.join(ok, F.col("url") == F.col("ok_url"), "left").select("url", "depth", F.lit(politeness_ms).cast("bigint").alias("politeness_delay_ms"), F.col("ok_url").isNotNull().alias("fetched"))
+    if not links:
+        return Crawl(tasks, seen.limit(0).select(F.col("url").alias("page_url"), F.col("url").alias("link"), "depth"))
+    every = links[0]
+    for x in links[1:]:
+        every = every.unionByName(x)
+    return Crawl(tasks, every)
+
+
+def crawl_report(done: Crawl, pages: DataFrame, shards: int = 1, batch_size: int = 32, window_s: float | None = None, wall_s: float | None = None) -> DataFrame:
+    """One row of counters: fetched, discovered, enqueued, duplicates, rejects, http_errors, parse_errors, normalised, local, remote, batches.
+
+    discovered = enqueued + duplicates, since seeds are not enqueued; rejects is 0, since no queue is bounded. A fetched page with an
+    empty body is a parse error, any other is normalised. With the seconds of the crawl's window and of all, two rates are told too.
+    """
+    null = F.lit(None).cast("double")
+    tasks = done.tasks.agg(F.count_if(F.col("fetched")).alias("fetched"), F.count_if(~F.col("fetched")).alias("http_errors"), F.count_if(F.col("depth") > 0).alias("enqueued"))
+    empty = done.tasks.where("fetched").join(pages.where(F.coalesce(F.octet_length("html"), F.lit(0)) == 0).select("url"), "url", "left_semi").agg(F.count("*").alias("parse_errors"))
+    routed = route_counts(done.links, shards, batch_size).agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("local", "remote", "batches")))
+    row = tasks.crossJoin(done.links.agg(F.count("*").alias("discovered"))).crossJoin(empty).crossJoin(routed)  # a row each
+    rate = lambda s: F.round(F.col("fetched") / F.lit(s), 2) if s else null
+    return row.select(
+        "fetched", "discovered", "enqueued", (F.col("discovered") - F.col("enqueued")).alias("duplicates"), F.lit(0).cast("bigint").alias("rejects"), "http_errors", "parse_errors",
+        (F.col("fetched") - F.col("parse_errors")).alias("normalised"), "local", "remote", "batches", rate(window_s).alias("rate_window"), rate(wall_s).alias("rate_wall"),
+    )
+
+
+def heartbeat(events: DataFrame, ts_ms: Column, every_ms: int = 10_000) -> DataFrame:
+    """(tick, events, total): what came in each tick of every_ms, and up to its end; ticks without any have no row. Null times are left out."""
+    per = events.select(F.floor(ts_ms / every_ms).cast("bigint").alias("tick")).where("tick is not null").groupBy("tick").agg(F.count("*").alias("events"))
+    # Ticks are few: a day has 8640 of ten seconds.
+    return per.withColumn("total", F.sum("events").over(Window.orderBy("tick")))

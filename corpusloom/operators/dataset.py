@@ -145,3 +145,14 @@ def perplexity(scored: DataFrame, log_prob: Column, mask: Column | None = None)
     """One row (perplexity) of token log-probabilities, over the tokens that mask keeps."""
     kept = log_prob if mask is None else F.when(mask, log_prob)
     return scored.agg(F.exp(-F.avg(kept)).alias("perplexity"))
+
+
+def training_prompts(hits: DataFrame, queries: DataFrame) -> DataFrame:
+    """(query_id, prompt) in the form that models are trained with: the hits' texts as numbered documents by rank, the question, an open answer.
+
+    hits has (query_id, rank, text). A query without hits has the question alone.
+    """
+    packed = hits.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", F.trim("text").alias("text")))).alias("docs"))
+    line = lambda x, i: F.concat(F.lit("Document "), (i + 1).cast("string"), F.lit(":\n"), x["text"], F.lit("\n\n"))
+    body = F.array_join(F.transform(F.coalesce("docs", F.array().cast("array<struct<rank:bigint,text:string>>")), line), "")
+    return queries.join(packed, "query_id", "left").select("query_id", F.concat(body, F.lit("Question: "), F.trim("query"), F.lit("\nAnswer:")).alias("prompt"))

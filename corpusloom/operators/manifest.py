@@ -74,3 +74,35 @@ def apply_plan(store: DataFrame, plan: DataFrame, fresh_chunks: DataFrame) -> Da
 
 def ledger(plan: DataFrame, emitted_at_epoch_ms: int) -> DataFrame:
     return plan.select(F.lit(emitted_at_epoch_ms).cast("bigint").alias("emitted_at_epoch_ms"), "*")
+
+
+def plan_totals(current: DataFrame, previous: DataFrame, plan: DataFrame) -> DataFrame:
+    """One row (current_urls, previous_urls, new, changed, deleted, unchanged) of two snapshots and their plan."""
+    by = plan.agg(*(F.count_if(F.col("reason") == r).alias(r) for r in ("new", "changed", "deleted")))
+    row = current.agg(F.count("*").alias("current_urls")).crossJoin(previous.agg(F.count("*").alias("previous_urls"))).crossJoin(by)  # a row each
+    return row.withColumn("unchanged", F.col("current_urls") - F.col("new") - F.col("changed"))
+
+
+def write_snapshot(fetches: DataFrame, path: str, order: list[str], previous: DataFrame | None = None, carry_forward: bool = False) -> DataFrame:
+    """Marks fetches (url, checksum, last_seen_epoch_ms, order) as changed or not against previous, and writes them to path as JSON lines.
+
+    A snapshot is what this run fetched, as many rows as it fetched; carry_forward adds the URLs of previous that it did not
+    fetch, as unchanged. path must be new: the snapshot read from is never written over. The rows written are returned.
+    """
+    kept = ["url", "checksum", "last_seen_epoch_ms", "changed"]
+    out = mark_changed(fetches, order, previous).select(*kept)
+    if carry_forward and previous is not None:
+        out = out.unionByName(previous.join(fetches.select("url"), "url", "left_anti").select("url", "checksum", "last_seen_epoch_ms", F.lit(False).alias("changed")))
+    out.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+    return out
+
+
+def execute_plan(store: DataFrame, plan: DataFrame, fresh_chunks: DataFrame, dry_run: bool = False) -> DataFrame:
+    """apply_plan(), or on a dry run what it would do: (action, urls, store_rows, fresh_rows) for each action, with nothing done."""
+    if not dry_run:
+        return apply_plan(store, plan, fresh_chunks)
+    actions = plan.select("url", "action").distinct()
+    had = store.groupBy("url").agg(F.count("*").alias("s"))
+    new = fresh_chunks.groupBy("url").agg(F.count("*").alias("f"))
+    both = actions.join(had, "url", "left").join(new, "url", "left")
+    return both.groupBy("action").agg(F.count("*").alias("urls"), F.coalesce(F.sum("s"), F.lit(0)).alias("store_rows"), F.coalesce(F.sum("f"), F.lit(0)).alias("fresh_rows"))

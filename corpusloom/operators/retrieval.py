@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.embedding import embed
 from ..functions.stemming import STOP, stem
 from ..functions.text import keyword_overlap, query_tokens
+from ..storage import materialize
 
 DENSE, LEXICAL, RRF_K, TOP_K, MAX_TOP_K = 24, 40, 60, 5, 12
 LEXICAL_WEIGHT = 0.05
@@ -22,18 +27,20 @@ def clamp_top_k(top_k: int | None, most: int = MAX_TOP_K) -> int:
     return max(1, min(TOP_K if top_k is None else top_k, most))
 
 
-def dense_topk(queries: DataFrame, vectors: DataFrame, n: int = DENSE, query_block: int = 4096, data_block: int = 65536) -> DataFrame:
+def dense_topk(queries: DataFrame, vectors: DataFrame, n: int = DENSE, block_bytes: int = 32 << 20) -> DataFrame:
     """(query_id, id, distance, rank): for each query (query_id, embedding) the n rows (id, embedding) of the least cosine distance.
 
     The scan is exact. Rows are spread by hashes of their ids over a grid of query and data blocks, so that no side is sent
     whole to any task and a cell is one matrix product; each keeps its n best and a window merges them. Distances are rounded
     to six digits, ties go to the lesser id. Null ids, and null or zero vectors, vectors of another length than a query's, or with null or
-    NaN entries, are left out.
+    not finite entries, are left out. A block holds as many rows as fit block_bytes of doubles, twice.
     """
-    good = lambda c: F.col(c).isNotNull() & F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x)) & F.exists(c, lambda x: x != 0)
+    good = lambda c: F.col(c).isNotNull() & F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(c, lambda x: x != 0)
     q = queries.select(F.col("query_id").cast("bigint"), F.col("embedding").cast("array<float>").alias("v")).where(F.col("query_id").isNotNull()).where(good("v"))
     d = vectors.select(F.col("id").cast("bigint"), F.col("embedding").cast("array<float>").alias("v")).where(F.col("id").isNotNull()).where(good("v"))
-    nq, nd = (max(1, -(-df.count() // size)) for df, size in ((q, query_block), (d, data_block)))
+    (n_q, dim_q), (n_d, dim_d) = (df.agg(F.count("*"), F.max(F.size("v"))).first() for df in (q, d))
+    rows = max(256, block_bytes // (8 * max(dim_q or 1, dim_d or 1)))
+    nq, nd = max(1, -(-n_q // rows)), max(1, -(-n_d // rows))
     block = lambda c, m: F.pmod(F.xxhash64(c), F.lit(m))
     dim = F.size("v").alias("dim")
     left = q.select(block("query_id", nq).alias("a"), F.explode(F.sequence(F.lit(0), F.lit(nd - 1))).alias("b"), dim, "query_id", "v").withColumn("cell", F.col("a") * nd + F.col("b"))
@@ -83,24 +90,55 @@ def lexical_simple(queries: DataFrame, docs: DataFrame, n: int = LEXICAL, max_br
     """(query_id, id, lexical_score, rank): documents (id, text) that hold every distinct token of a query (query_id, query).
 
     Tokens are lower-case runs of letters and digits. lexical_score is the share of the document's tokens that are the query's,
-    rounded to six digits; ties go to the lesser id. A query without tokens matches nothing. Only documents that hold
-    a query's rarest token are looked at. Rows that repeat an id are documents of their own. The query tokens go to every task if they are small enough, else they are joined by a
-    shuffle.
+    rounded to six digits; ties go to the lesser id. A query without tokens matches nothing. Rows that repeat an id are documents
+    of their own. Queries go to every task if their texts are of max_broadcast_bytes at most, and one pass over the texts scores
+    them; no text is shuffled. Beyond that their tokens are joined by a shuffle, where only documents with a query's rarest token
+    are looked at.
     """
     asked = queries.where("query_id is not null").select("query_id", F.array_distinct(simple_tokens(F.col("query"))).alias("tokens"))
+    size = queries.agg(F.coalesce(F.sum(F.octet_length("query")), F.lit(0))).first()[0]
+    if size <= max_broadcast_bytes:
+        known = _Asked([(r["query_id"], r["tokens"]) for r in asked.collect() if r["tokens"]])
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                out = []
+                for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    words = _WORD.findall((t or "").lower())
+                    counts = Counter(words)
+                    out += [(q, i, round(sum(counts[w] for w in tokens) / len(words), 6)) for q, tokens in known.held_by(counts)]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "id", "lexical_score"])
+
+        found = docs.where("id is not null").select(F.col("id").cast("bigint"), F.col("text").cast("string")).mapInArrow(scan, "query_id bigint, id bigint, lexical_score double")
+        return _top(found, "query_id", [F.desc("lexical_score"), F.asc("id")], n)
     terms = asked.select("query_id", F.explode("tokens").alias("token"))
-    size = terms.agg(F.coalesce(F.sum(F.octet_length("token") + 16), F.lit(0))).first()[0]
-    small = (lambda df: F.broadcast(df)) if size <= max_broadcast_bytes else (lambda df: df)
     words = docs.where("id is not null").select("id", F.explode(F.array_distinct(simple_tokens(F.col("text")))).alias("word"))
-    freq = words.join(small(terms.select("token").distinct()), F.col("word") == F.col("token"), "left_semi").groupBy("word").agg(F.count("*").alias("df"))
-    candidates = words.join(small(_rarest(terms, freq)), F.col("word") == F.col("rare")).select("query_id", F.col("id").alias("c_id")).distinct()
+    freq = words.join(terms.select("token").distinct(), F.col("word") == F.col("token"), "left_semi").groupBy("word").agg(F.count("*").alias("df"))
+    candidates = words.join(_rarest(terms, freq), F.col("word") == F.col("rare")).select("query_id", F.col("id").alias("c_id")).distinct()
     texts = docs.select("id", simple_tokens(F.col("text")).alias("all"))
-    pairs = candidates.join(texts, F.col("c_id") == F.col("id")).join(small(asked), "query_id").where(F.size(F.array_except("tokens", "all")) == 0)
+    pairs = candidates.join(texts, F.col("c_id") == F.col("id")).join(asked, "query_id").where(F.size(F.array_except("tokens", "all")) == 0)
     tf = F.size(F.filter("all", lambda w: F.array_contains("tokens", w)))
     scored = pairs.select("query_id", "id", F.round(tf / F.size("all"), 6).alias("lexical_score"))
     return _top(scored, "query_id", [F.desc("lexical_score"), F.asc("id")], n)
 
 
+class _Asked:
+    """Queries by the one of their tokens that the fewest queries have (then the longest): a text can hold only queries whose it has."""
+
+    def __init__(self, queries: list[tuple[int, list[str]]]):
+        often = Counter(w for _, tokens in queries for w in set(tokens))
+        self.by: dict[str, list[tuple[int, list[str]]]] = {}
+        for q, tokens in queries:
+            self.by.setdefault(min(tokens, key=lambda w: (often[w], -len(w), w)), []).append((q, tokens))
+
+    def held_by(self, words: Mapping[str, object]) -> Iterator[tuple[int, list[str]]]:
+        for w in self.by.keys() & words.keys():
+            for q, tokens in self.by[w]:
+                if all(x in words for x in tokens):
+                    yield q, tokens
+
+
 def _rarest(terms: DataFrame, freq: DataFrame) -> DataFrame:
     """(query_id, rare): of each query's terms (query_id, token) the one of the least document frequency (word, df).
 
@@ -137,22 +175,27 @@ def cover_density(positions: list[np.ndarray]) -> float:
 
 
 def postings(docs: DataFrame) -> DataFrame:
-    """(id, lexeme, positions) of (id, text): the text index, built once for many queries."""
+    """(id, lexeme, positions) of (id, text): the text index, built once for many queries.
+
+    Rows that repeat an id with other texts are told apart by row, a digest of the text; equal rows are one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, lex, pos = [], [], []
+            ids, rows, lex, pos = [], [], [], []
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 own: dict[str, list[int]] = {}
                 for w, p in english_lexemes(t):
                     own.setdefault(w, []).append(p)
+                row = int.from_bytes(md5((t or "").encode()).digest()[:8], "big", signed=True)
                 ids += [i] * len(own)
+                rows += [row] * len(own)
                 lex += own.keys()
                 pos += own.values()
             if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lex, pa.string()), pa.array(pos, pa.list_(pa.int32()))], ["id", "lexeme", "positions"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(lex, pa.string()), pa.array(pos, pa.list_(pa.int32()))], ["id", "row", "lexeme", "positions"])
 
-    return docs.where("id is not null").select(F.col("id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "id bigint, lexeme string, positions array<int>")
+    return docs.where("id is not null").select(F.col("id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "id bigint, row bigint, lexeme string, positions array<int>")
 
 
 def lexical_english(queries: DataFrame, index: DataFrame, n: int = LEXICAL) -> DataFrame:
@@ -178,11 +221,40 @@ def lexical_english(queries: DataFrame, index: DataFrame, n: int = LEXICAL) -> D
     freq = index.join(terms.select("token").distinct(), F.col("lexeme") == F.col("token"), "left_semi").groupBy(F.col("lexeme").alias("word")).agg(F.count("*").alias("df"))
     candidates = index.join(_rarest(terms, freq), F.col("lexeme") == F.col("rare")).select("query_id", F.col("id").alias("c_id")).distinct()
     own = candidates.join(asked, "query_id")  # every lexeme that a candidate must hold
-    hits = index.join(own, (F.col("lexeme") == F.col("q_lexeme")) & (F.col("id") == F.col("c_id"))).groupBy("query_id", "id", "wanted").agg(F.collect_list("positions").alias("positions"))
+    hits = index.join(own, (F.col("lexeme") == F.col("q_lexeme")) & (F.col("id") == F.col("c_id"))).select("query_id", "id", "row", "wanted", "lexeme", "positions").distinct().groupBy("query_id", "id", "row", "wanted").agg(F.collect_list("positions").alias("positions"))
     scored = hits.where(F.size("positions") == F.col("wanted")).select("query_id", "id", "positions").mapInArrow(score, "query_id bigint, id bigint, lexical_score double")
     return _top(scored, "query_id", [F.desc("lexical_score"), F.asc("id")], n)
 
 
+def lexical_english_scan(queries: DataFrame, docs: DataFrame, n: int = LEXICAL, max_broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """What lexical_english() gives over postings(docs), in one pass over the texts without an index.
+
+    The queries go to every task; where their texts are of more than max_broadcast_bytes, the index is made and used. Rows that
+    repeat an id are documents of their own here.
+    """
+    size = queries.agg(F.coalesce(F.sum(F.octet_length("query")), F.lit(0))).first()[0]
+    if size > max_broadcast_bytes:
+        return lexical_english(queries, postings(docs), n)
+    rows = queries.where("query_id is not null").select(F.col("query_id").cast("bigint"), F.col("query").cast("string")).collect()
+    known = _Asked([(q, tokens) for q, t in rows if (tokens := sorted({w for w, _ in english_lexemes(t)}))])
+    vocabulary = {w for of in known.by.values() for _, tokens in of for w in tokens}
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                own: dict[str, list[int]] = {}
+                for w, p in english_lexemes(t):
+                    if w in vocabulary:
+                        own.setdefault(w, []).append(p)
+                out += [(q, i, round(cover_density([np.asarray(own[w]) for w in tokens]), 6)) for q, tokens in known.held_by(own)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "id", "lexical_score"])
+
+    found = docs.where("id is not null").select(F.col("id").cast("bigint"), F.col("text").cast("string")).mapInArrow(scan, "query_id bigint, id bigint, lexical_score double")
+    return _top(found, "query_id", [F.desc("lexical_score"), F.asc("id")], n)
+
+
 def fuse(dense: DataFrame, lexical: DataFrame, k: int = RRF_K) -> DataFrame:
     """(query_id, id, distance, lexical_score, fused): both lists' rows, 1 / (k + rank) for each list, and a twentieth of the lexical score."""
     k = max(1, k)
@@ -194,6 +266,13 @@ def fuse(dense: DataFrame, lexical: DataFrame, k: int = RRF_K) -> DataFrame:
     return both.select("query_id", "id", "distance", "lexical_score", F.round(fused, 9).alias("fused"))
 
 
+def candidate_texts(docs: DataFrame, hits: DataFrame, max_broadcast_rows: int = 1 << 20) -> DataFrame:
+    """(id, text) of docs whose id is in hits: the ids go to every task if they are max_broadcast_rows at most, so no other text is shuffled."""
+    ids = hits.select(F.col("id").alias("h_id")).distinct()
+    few = ids.count() <= max_broadcast_rows
+    return docs.select("id", "text").join(F.broadcast(ids) if few else ids, F.col("id") == F.col("h_id"), "left_semi")
+
+
 def keyword_fallback(fused: DataFrame, queries: DataFrame, docs: DataFrame, limit: int = LEXICAL, k: int = RRF_K) -> DataFrame:
     """fused, where candidates without a lexical score get their keyword overlap as one, ranked by it, if they have any overlap.
 
@@ -201,7 +280,8 @@ def keyword_fallback(fused: DataFrame, queries: DataFrame, docs: DataFrame, limi
     then by fused score and id, gain 1 / (k + rank) and a twentieth of the overlap.
     """
     asked = queries.select("query_id", query_tokens(F.col("query")).alias("tokens"))
-    rows = fused.join(asked, "query_id").join(docs.select("id", "text"), "id")
+    fused = materialize(fused)
+    rows = fused.join(asked, "query_id").join(candidate_texts(docs, fused), "id")
     overlap = F.when(F.col("lexical_score").isNull(), F.round(keyword_overlap(F.col("tokens"), F.col("text")), 9))
     rows = rows.withColumn("overlap", overlap).drop("tokens", "text")
     eligible = F.coalesce(F.col("overlap") > 0, F.lit(False))
@@ -239,12 +319,49 @@ def evaluate_cases(cases: DataFrame, results: DataFrame) -> DataFrame:
     return cases.join(hits, "query_id", "left").select("query_id", "best_rank", F.coalesce("matched", F.lit(0)).cast("bigint").alias("matched"), F.when(n > 0, F.round(F.coalesce("matched", F.lit(0)) / n, 6)).alias("recall"))
 
 
-def evaluate_summary(per_case: DataFrame) -> DataFrame:
-    """One row (cases, hit_rate, mrr, mean_recall): the means go over the cases with relevants and are null without any."""
+def evaluate_summary(per_case: DataFrame, latency_ms: Column | None = None) -> DataFrame:
+    """One row (cases, hit_rate, mrr, mean_recall[, avg_latency_ms]): the means go over the cases with relevants and are null without any."""
     scored = F.col("recall").isNotNull()
     return per_case.agg(
         F.count("*").alias("cases"),
         F.round(F.avg(F.when(scored, F.when(F.col("best_rank").isNotNull(), 1.0).otherwise(0.0))), 6).alias("hit_rate"),
         F.round(F.avg(F.when(scored, F.coalesce(1.0 / F.col("best_rank"), F.lit(0.0)))), 6).alias("mrr"),
         F.round(F.avg("recall"), 6).alias("mean_recall"),
+        *([] if latency_ms is None else [F.round(F.avg(latency_ms), 3).alias("avg_latency_ms")]),
     )
+
+
+def checked_queries(queries: DataFrame) -> DataFrame:
+    """queries (query_id, query, top_k, max_tokens) with top_k clamped; a null, empty or blank query is an error."""
+    bad = queries.where(F.coalesce(F.trim("query"), F.lit("")) == "").first()
+    if bad is not None:
+        raise ValueError(f"empty query: {bad.asDict()}")
+    return queries.withColumn("top_k", F.greatest(F.lit(1), F.least(F.coalesce("top_k", F.lit(TOP_K)), F.lit(MAX_TOP_K))))
+
+
+def embed_queries(queries: DataFrame, **options) -> DataFrame:
+    """queries (query_id, query) with their embedding; each distinct text is embedded once. Options go to embed()."""
+    once = embed(queries.select("query").where("query is not null").distinct(), text_col="query", **options)
+    return queries.join(once, "query", "left")
+
+
+def respond(final: DataFrame, queries: DataFrame, latency_ms: Column | None = None) -> DataFrame:
+    """(query_id, top_k, max_tokens, returned, fusion, latency_ms) of each checked query: what goes with its rows of final.
+
+    fusion tells whether a lexical score took part in any of them: dense+lexical_rrf, else dense_only.
+    """
+    counts = final.groupBy("query_id").agg(F.count("*").alias("n"), F.bool_or(F.col("lexical_score").isNotNull()).alias("lexical"))
+    label = F.when(F.coalesce("lexical", F.lit(False)), "dense+lexical_rrf").otherwise("dense_only")
+    joined = queries.join(counts, "query_id", "left")
+    return joined.select("query_id", "top_k", "max_tokens", F.coalesce("n", F.lit(0)).cast("bigint").alias("returned"), label.alias("fusion"), (F.lit(None) if latency_ms is None else latency_ms).cast("double").alias("latency_ms"))
+
+
+def write_report(per_case: DataFrame, path: str, latency_ms: Column | None = None) -> dict:
+    """The evaluation report: a summary and every case by query_id, as one indented JSON file in the shared file system; returned too.
+
+    The file holds one entry for each case, so cases are a test set that a person reads, not a corpus.
+    """
+    report = {"summary": evaluate_summary(per_case, latency_ms).first().asDict(), "cases": [r.asDict(True) for r in per_case.orderBy("query_id").toLocalIterator()]}
+    spark = per_case.sparkSession
+    spark.createDataFrame([(json.dumps(report, indent=2, ensure_ascii=False, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return report

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text as TX
 from ..functions import urls as U
-from ..functions.embedding import embed
 from ..operators import crawl, dataset, manifest, pages, retrieval
 from ..session import ship
 from ..storage import materialize
@@ -87,11 +86,6 @@ def link_discovery_stats(spark, d):
     return crawl.crawl_metrics(p, materialize(crawl.accept_links(crawl.extract_links(p))))
 
 
-@query()
-def link_routing(spark, d):
-    return crawl.route_counts(crawl.extract_links(table(spark, d, "pages")), 8)
-
-
 @query("""
 WITH RECURSIVE edges AS (
   SELECT DISTINCT 'p' || l_partkey AS src, 's' || l_suppkey AS dst FROM lineitem UNION SELECT DISTINCT 's' || l_suppkey, 'p' || l_partkey FROM lineitem),
@@ -111,22 +105,6 @@ def dedupe_exact(spark, d):
 # Blocks and chunks
 
 
-@query()
-def page_blocks(spark, d):
-    return pages.page_blocks(pages.normalize_pages(table(spark, d, "pages")))
-
-
-@query()
-def page_chunks(spark, d):
-    return pages.page_chunks(pages.normalize_pages(table(spark, d, "pages")))
-
-
-@query()
-def page_chunk_stats(spark, d):
-    chunks = pages.page_chunks(pages.normalize_pages(table(spark, d, "pages")))
-    return chunks.groupBy("url").agg(F.count("*").alias("n_chunks"), F.sum("token_estimate").alias("n_tokens"))
-
-
 @query("SELECT page_id, strlen(html) AS content_length, false AS lossy_decoding FROM pages")
 def page_metadata(spark, d):
     body = F.col("html").cast("binary")
@@ -145,11 +123,6 @@ def doc_paragraph_offsets(spark, d):
     return pages.doc_paragraphs(table(spark, d, "documents"))
 
 
-@query()
-def doc_chunks(spark, d):
-    return pages.doc_chunks(table(spark, d, "documents"))
-
-
 @query(r"""
 WITH w AS (SELECT doc_id, list_transform(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> ''), lambda x: strlen(x)::INT) AS ids FROM documents),
 f AS (SELECT doc_id, list_concat([1], ids, [2]) AS ids FROM w),
@@ -222,12 +195,6 @@ def only_changed_docs(spark, d):
     return manifest.only_changed(table(spark, d, "documents"), m, "doc_id").select("doc_id")
 
 
-@query("SELECT event_id, user_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1")
-def upsert_latest(spark, d):
-    e = table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
-    return manifest.upsert(e.limit(0), e, ["user_id", "event_type"], F.col("event_id"))
-
-
 # Retrieval
 
 UNIT = "unit AS (SELECT vec_id, label, [x / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) FOR x IN embedding::DOUBLE[]] AS v FROM embeddings)"
@@ -259,7 +226,7 @@ def lexical_simple_topk(spark, d):
 
 @query()
 def lexical_english_topk(spark, d):
-    return retrieval.lexical_english(_questions(spark, d), materialize(retrieval.postings(_docs(spark, d))))
+    return retrieval.lexical_english_scan(_questions(spark, d), _docs(spark, d))
 
 
 def _item_vectors(spark, d):
@@ -307,7 +274,8 @@ kept AS (SELECT query_id, id, fused_rank, text, token_estimate FROM summed WHERE
 
 
 def _budgeted(spark, d):
-    hits = _final(spark, d).join(_docs(spark, d), "id").withColumn("token_estimate", TX.token_estimate(F.col("text")))
+    final = materialize(_final(spark, d))
+    hits = final.join(retrieval.candidate_texts(_docs(spark, d), final), "id").withColumn("token_estimate", TX.token_estimate(F.col("text")))
     return retrieval.within_budget(hits.select("query_id", "id", "fused_rank", "text", "token_estimate"), 1200)
 
 
@@ -350,11 +318,6 @@ def eval_summary(spark, d):
     return retrieval.evaluate_summary(_cases(spark, d))
 
 
-@query()
-def embed_chunks(spark, d):
-    return embed(pages.page_chunks(pages.normalize_pages(table(spark, d, "pages"))).select("url", "chunk_id", "text")).drop("text")
-
-
 # Samples, keywords, prompts
 
 KEYS = r"""list_filter(list_transform(regexp_extract_all(lower(text), '[A-Za-z][A-Za-z''\-]{2,}'), lambda x: regexp_replace(x, '^[''\-]+|[''\-]+$', '', 'g')), lambda x: length(x) >= 4 AND NOT list_contains([STOP], x))""".replace(

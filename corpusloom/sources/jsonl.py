@@ -33,11 +33,13 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, missing_ok: bool = F
 def read_numbered(spark: SparkSession, path: str, schema: str, missing_ok: bool = False) -> DataFrame:
     """Like read_jsonl(), with file and line_no: the row's place, by which last-wins rules go.
 
-    A file is one row until its lines are numbered, so this suits manifests, not corpora.
+    line_no grows along a file but may leave numbers out: it is the block of the file that a task reads, and the line within it. So
+    files of any size are split as ever, and no row is a whole file. Blank lines are skipped.
     """
     if missing_ok and not exists(spark, path):
         return spark.createDataFrame([], f"file string, line_no bigint, {schema}")
-    lines = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
+    place = F.col("_metadata.file_block_start") * (1 << 20) + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), place.alias("line_no"), F.regexp_replace("value", r"\r$", "").alias("line"))
     parsed = lines.where(F.trim("line") != "").withColumn("r", F.from_json("line", schema, {"mode": "FAILFAST"}))
     return parsed.select("file", F.col("line_no").cast("bigint").alias("line_no"), "r.*")
 

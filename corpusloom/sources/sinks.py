@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from ..functions.urls import hash_shard
 
+WORD = re.compile(r"[^\W_]+")
+
 
 def write_jsonl(df: DataFrame, path: str, append: bool = False, keep_nulls: bool = True) -> None:
     """A folder of JSON lines; overwritten unless append. keep_nulls writes null fields as nulls."""
@@ -56,3 +61,33 @@ def index_table(df: DataFrame, name: str, text_table: str, analyze: bool = False
     save_table(df, name)
     if analyze:
         df.sparkSession.sql(f"ANALYZE TABLE {identifier(text_table)} COMPUTE STATISTICS")
+
+
+def write_ordered(df: DataFrame, path: str, *order: str) -> None:
+    """df as JSON lines that read in order, file by file: ranges of order are sorted where they are, no task sorts everything."""
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def chunk_table(chunks: DataFrame, keys: tuple[str, ...] = ("url", "chunk_id"), text_col: str = "text") -> DataFrame:
+    """chunks as the store's table: one row a key (a null or repeated key is an error), with lexemes, the text's own index.
+
+    lexemes lists each distinct lower-case word with its positions, which count from 1.
+    """
+    bad = chunks.groupBy(*keys).count().where(" or ".join(f"`{k}` is null" for k in keys) + " or count > 1").first()
+    if bad is not None:
+        raise ValueError(f"not a key: {bad.asDict()}")
+    at, names = chunks.columns.index(text_col), [*chunks.columns, "lexemes"]
+    kind = pa.list_(pa.struct([("lexeme", pa.string()), ("positions", pa.list_(pa.int32()))]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for text in b.column(at).to_pylist():
+                own: dict[str, list[int]] = {}
+                for i, w in enumerate(WORD.findall((text or "").lower()), 1):
+                    own.setdefault(w, []).append(i)
+                rows.append([{"lexeme": w, "positions": own[w]} for w in sorted(own)])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, kind)], names)
+
+    lexemes = StructField("lexemes", ArrayType(StructType([StructField("lexeme", StringType()), StructField("positions", ArrayType(IntegerType()))])))
+    return chunks.mapInArrow(run, StructType([*chunks.schema.fields, lexemes]))

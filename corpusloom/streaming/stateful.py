@@ -8,6 +8,7 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import BooleanType, StructField, StructType
 
@@ -26,7 +27,8 @@ def _mark(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
 def mark_changed_stream(fetches: DataFrame) -> DataFrame:
     """(url, seq, checksum, changed) of a stream with url, seq and checksum (a string): changed against the URL's last checksum.
 
-    One checksum a URL is kept as state; rows of a micro-batch go by seq. Null URLs are left out, since they have no key.
+    One checksum a URL is kept as state; rows of a micro-batch go by seq, and a row that comes in a later one is compared with the
+    last that came before, whatever its seq. Null URLs are left out, since they have no key.
     """
     picked = fetches.where("url is not null").select("url", F.col("seq").cast("bigint"), F.col("checksum").cast("string"))
     return picked.groupBy("url").applyInPandasWithState(_mark, "url string, seq bigint, checksum string, changed boolean", "checksum string", "append", GroupStateTimeout.NoTimeout)
@@ -67,3 +69,35 @@ def rate_limit(requests: DataFrame, per_minute: float, burst: float, key_col: st
         return pdf
 
     return requests.groupBy(key_col).applyInPandas(run, schema)
+
+
+def rate_limit_stream(requests: DataFrame, per_minute: float, burst: float) -> DataFrame:
+    """(client, ts_ms, request, allowed) of a stream with these columns: the bucket of rate_limit() kept as state over micro-batches.
+
+    Rows of a micro-batch go by time, then by request. A row that comes in a later micro-batch than rows of later times finds the
+    bucket as they left it, without a refill. Null clients and times are left out.
+    """
+
+    def run(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(pdfs)).sort_values(["ts_ms", "request"], kind="stable")
+        tokens, last = state.get if state.exists else (float(burst), None)
+        out: list[bool] = []
+        for t in rows["ts_ms"]:
+            if last is not None and t > last:
+                tokens = min(float(burst), tokens + (t - last) / 1000 * per_minute / 60)
+            last = t if last is None else max(last, t)
+            out.append(bool(tokens >= 1))
+            tokens -= out[-1]
+        state.update((tokens, int(last)))
+        rows["allowed"] = out
+        yield rows[["client", "ts_ms", "request", "allowed"]]
+
+    picked = requests.where("client is not null and ts_ms is not null").select("client", F.col("ts_ms").cast("bigint"), F.col("request").cast("bigint"))
+    out = StructType([*picked.schema.fields, StructField("allowed", BooleanType())])
+    return picked.groupBy("client").applyInPandasWithState(run, out, "tokens double, last bigint", "append", GroupStateTimeout.NoTimeout)
+
+
+def progress(query: StreamingQuery) -> dict[str, Any]:
+    """The heartbeat of a running stream: batch, rows in so far told by its last progress, rows a second, and whether it waits."""
+    last = query.lastProgress or {}
+    return {"batch": last.get("batchId", -1), "rows": last.get("numInputRows", 0), "rows_per_second": last.get("processedRowsPerSecond", 0.0), "waiting": not query.status["isDataAvailable"]}

@@ -11,7 +11,7 @@ from corpusloom.functions import embedding
 from corpusloom.functions import text as TX
 from corpusloom.functions import urls as U
 from corpusloom.operators import crawl, dataset, manifest, pages, retrieval
-from corpusloom.plans.catalog import ORACLE_SQL, QUERIES
+from corpusloom.plans.exchange import ORACLE_SQL, QUERIES
 from corpusloom.sources import jsonl, sinks
 from corpusloom.streaming import stateful
 
@@ -35,7 +35,7 @@ def test_query(spark, name):
     assert len(set(df.columns)) == len(df.columns)
     if name in ORACLE_SQL:
         con = duckdb.connect()
-        for t in ("pages", "documents", "embeddings", "labels", "benchmark", "events", "lineitem"):
+        for t in ("pages", "documents", "embeddings", "labels", "benchmark", "events", "lineitem", "customer", "part", "conversations"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
         cols = ", ".join(f'"{c}"' for c in df.columns)
         want = con.execute(f"SELECT {cols} FROM ({ORACLE_SQL[name]})").fetchall()
@@ -130,6 +130,13 @@ def test_retrieval_edges(spark):
     for limit in (1 << 20, 0):
         assert rows(retrieval.lexical_simple(q, d, max_broadcast_bytes=limit)) == [(1, 10, 0.75, 1)]
     assert {(r.query_id, r.id) for r in retrieval.lexical_english(q, retrieval.postings(d)).collect()} == {(1, 10), (1, 11)}
+    twice = d.union(spark.createDataFrame([(10, "a red fox; red"), (11, "nothing of it"), (10, "red red fox fox")], d.schema))
+    for x in (d, twice):
+        scans = [rows(retrieval.lexical_english_scan(q, x.distinct(), max_broadcast_bytes=limit)) for limit in (1 << 20, 0)]
+        assert scans[0] == scans[1] == rows(retrieval.lexical_english(q, retrieval.postings(x))) and scans[0]
+    assert rows(retrieval.lexical_simple(q, twice)) == rows(retrieval.lexical_simple(q, twice, max_broadcast_bytes=0))
+    bad = spark.createDataFrame([(6, [float("inf"), 1.0]), (7, [float("nan"), 1.0])], "id bigint, embedding array<float>")
+    assert rows(retrieval.dense_topk(v.withColumnRenamed("id", "query_id"), v.union(bad), block_bytes=1)) == rows(retrieval.dense_topk(v.withColumnRenamed("id", "query_id"), v))
     fused = retrieval.fuse(spark.createDataFrame([(1, 13, 0.1, 1), (1, 12, 0.2, 2)], "query_id bigint, id bigint, distance double, rank bigint"), retrieval.lexical_simple(q, d))
     final = retrieval.finalize(retrieval.keyword_fallback(fused, q, d)).orderBy("fused_rank").collect()
     # 13: 1/61 (dense) + 1/61 + 0.05 * 0.5 (fallback); 10: 1/61 + 0.05 * 0.75; 12: 1/62
@@ -170,6 +177,108 @@ def test_text_columns(spark):
     assert [r[0] for r in spark.createDataFrame([(["A", " ", "B"],), ([],)], "p array<string>").select(TX.section_path(F.col("p"))).collect()] == ["A > B", None]
 
 
+def test_answers_and_reports(spark, tmp_path):
+    q = spark.createDataFrame([(1, "a", None, 10), (2, "b", 99, None), (3, "a", 0, None)], "query_id bigint, query string, top_k int, max_tokens bigint")
+    checked = retrieval.checked_queries(q)
+    assert [r.top_k for r in checked.orderBy("query_id").collect()] == [5, 12, 1]
+    with pytest.raises(ValueError, match="empty query"):
+        retrieval.checked_queries(q.withColumn("query", F.when(F.col("query_id") == 2, "  ").otherwise("x")))
+    final = spark.createDataFrame([(1, None), (1, 0.5), (2, None)], "query_id bigint, lexical_score double")
+    assert rows(retrieval.respond(final, checked, F.lit(3)).drop("top_k", "max_tokens")) == [(1, 2, "dense+lexical_rrf", 3.0), (2, 1, "dense_only", 3.0), (3, 0, "dense_only", 3.0)]
+    calls = []
+
+    class Counted(embedding.HashingClient):
+        def embed_batch(self, texts):
+            return [(i, v) for i, v in reversed(list(enumerate(super().embed_batch(texts))))]
+
+    got = {r.query_id: r.embedding for r in retrieval.embed_queries(q, make_client=Counted).collect()}
+    want = embedding.HashingClient().embed_batch(["a", "b"])
+    assert got == {1: want[0], 2: want[1], 3: want[0]} and not calls
+    per = spark.createDataFrame([(1, 2, 1, 0.5, 4.0), (2, None, 0, None, 8.0)], "query_id int, best_rank int, matched int, recall double, ms double")
+    report = retrieval.write_report(per, str(tmp_path / "report"), F.col("ms"))
+    assert report["summary"] == {"cases": 2, "hit_rate": 1.0, "mrr": 0.5, "mean_recall": 0.5, "avg_latency_ms": 6.0}
+    (written,) = (tmp_path / "report").glob("*.txt")
+    assert json.loads(written.read_text())["cases"][1]["query_id"] == 2
+
+
+def test_embedding_order():
+    class Odd(embedding.HashingClient):
+        def embed_batch(self, texts):
+            return [(1, [1.0]), (1, [2.0])]
+
+    with pytest.raises(ValueError, match="indices"):
+        embedding.call(Odd(), ["a", "b"])
+
+
+def test_crawl_over_pages(spark):
+    web = [("http://a/", 200, '<a href="/1"/><a href="/2"/><a href="/1"/><a href="http://z/"/>'), ("http://a/1", 200, '<a href="/3"/><a href="/"/>'), ("http://a/2", 404, '<a href="/9"/>'), ("http://a/3", 299, '<a href="/4"/>'), ("http://z/", 200, ""), ("http://a/4", 200, "x")]
+    pages_ = spark.createDataFrame(web, "url string, status int, html string")
+    seeds = spark.createDataFrame([("http://a/",), ("http://a/",), (None,)], "url string")
+    done = crawl.crawl(seeds, pages_, 2, politeness_ms=9)
+    assert rows(done.tasks) == [("http://a/", 0, 9, True), ("http://a/1", 1, 9, True), ("http://a/2", 1, 9, False), ("http://a/3", 2, 9, True), ("http://z/", 1, 9, True)]
+    got = crawl.crawl_report(done, pages_, 4, 32, 2.0).first()
+    assert (got.fetched, got.discovered, got.enqueued, got.duplicates, got.http_errors, got.parse_errors, got.normalised, got.rate_window, got.rate_wall) == (4, 6, 4, 2, 1, 1, 3, 2.0, None)
+    assert got.local + got.remote == 6
+    only = crawl.crawl(seeds, pages_, 9, ["a"], lambda u: ~u.endswith("/2"), 1)
+    assert [r.url for r in only.tasks.orderBy("depth").collect()] == ["http://a/", "http://a/1", "http://a/3", "http://a/4"]
+    assert crawl.crawl(seeds.limit(0), pages_).tasks.count() == 0 and rows(crawl.crawl(seeds, pages_, 0).tasks) == [("http://a/", 0, 250, True)]
+    beats = spark.createDataFrame([(0,), (9_999,), (10_000,), (35_000,), (None,)], "t bigint")
+    assert rows(crawl.heartbeat(beats, F.col("t"))) == [(0, 2, 2), (1, 1, 3), (3, 1, 4)]
+
+
+def test_url_join_equals_the_library(spark):
+    from urllib.parse import urljoin
+
+    bases = ["http://a.b/c/d?q#f", "https://a.b", "http://u:p@a.b:8/x/y/z/", "http://a.b/?q", "nothing", None]
+    hrefs = ["", "e", "./e", "../e", "../../../e", "/e/./f/../g", "?x=1", "#y", "//h/i", "mailto:x", "http://o/p", "e/../", ".", "..", "e?x=/../y", "g/h#i/../j", None]
+    got = spark.createDataFrame([(b, h) for b in bases for h in hrefs], "b string, h string").select("b", "h", U.join_url(F.col("b"), F.col("h")).alias("j")).collect()
+    for r in got:
+        want = None if r.b is None or r.h is None else r.h if r.h.startswith(("mailto:", "http://o")) else None if r.b == "nothing" else urljoin(r.b if r.b != "https://a.b" else "https://a.b/", r.h)
+        if r.h == "" and r.b and "#" in r.b:
+            want = r.b.split("#")[0]
+        assert r.j == want, (r.b, r.h, r.j, want)
+    assert spark.createDataFrame([(" http://a/b c\\d\n\"<>",)], "u string").select(U.repair_url(F.col("u"))).first()[0] == "http://a/b%20c/d%22%3C%3E"
+
+
+def test_headers_times_checksums(spark):
+    h = spark.createDataFrame([({"Content-Type": " a "},), ({"x": "y"},), ({"content-TYPE": " "},), (None,)], "h map<string,string>")
+    assert [r[0] for r in h.select(TX.header(F.col("h"), "content-type")).collect()] == ["a", None, None, None]
+    assert spark.sql("select timestamp_ntz'1969-12-31 23:59:59.5' as t").select(TX.epoch_ms(F.col("t"))).first()[0] == -500
+    import zlib
+
+    assert spark.createDataFrame([("é",)], "t string").select(TX.crc32(F.col("t"))).first()[0] == zlib.crc32("é".encode())
+
+
+def test_snapshots_and_dry_runs(spark, tmp_path):
+    had = spark.createDataFrame([("a", 1, 5), ("b", 2, 5)], "url string, checksum bigint, last_seen_epoch_ms bigint")
+    now = spark.createDataFrame([("a", 1, 7), ("c", 3, 7), ("c", 3, 8)], had.schema)
+    manifest.write_snapshot(now, str(tmp_path / "s"), ["last_seen_epoch_ms"], had, carry_forward=True)
+    assert rows(spark.read.json(str(tmp_path / "s")).select("url", "last_seen_epoch_ms", "changed")) == [("a", 7, False), ("b", 5, False), ("c", 7, True), ("c", 8, False)]
+    with pytest.raises(Exception, match="(?i)exist"):
+        manifest.write_snapshot(now, str(tmp_path / "s"), ["last_seen_epoch_ms"])
+    plan = manifest.refresh_plan(now.where("last_seen_epoch_ms = 7").select("url", "checksum"), had.select("url", "checksum"))
+    assert rows(manifest.execute_plan(had.select("url"), plan, now.select("url"), dry_run=True)) == [("delete", 1, 1, 0), ("embed", 1, 0, 2)]
+    assert tuple(manifest.plan_totals(now.where("last_seen_epoch_ms = 7"), had, plan).first()) == (2, 2, 1, 0, 1, 1)
+    with pytest.raises(ValueError, match="not a key"):
+        sinks.chunk_table(now.select("url", F.lit(0).alias("chunk_id"), F.lit("x").alias("text")))
+    two = sinks.chunk_table(spark.createDataFrame([("u", 0, "B a b"), ("u", 1, None)], "url string, chunk_id int, text string")).orderBy("chunk_id").collect()
+    assert [(x.lexeme, x.positions) for x in two[0].lexemes] == [("a", [2]), ("b", [1, 3])] and two[1].lexemes == []
+    big = tmp_path / "big.jsonl"
+    big.write_text("".join(f'{{"url":"u{i % 7}","checksum":{i},"changed":true}}\n' for i in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        assert jsonl.read_numbered(spark, str(big), jsonl.MANIFEST).rdd.getNumPartitions() > 3
+        assert {r.url: r.checksum for r in jsonl.read_manifest(spark, str(big)).collect()} == {f"u{i % 7}": i for i in range(4993, 5000)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_training_prompts(spark):
+    q = spark.createDataFrame([(1, " why? "), (2, "x")], "query_id bigint, query string")
+    h = spark.createDataFrame([(1, 2, "b "), (1, 1, "a")], "query_id bigint, rank bigint, text string")
+    assert rows(dataset.training_prompts(h, q)) == [(1, "Document 1:\na\n\nDocument 2:\nb\n\nQuestion: why?\nAnswer:"), (2, "Question: x\nAnswer:")]
+
+
 def test_embed(spark):
     df = spark.createDataFrame([(1, "x y"), (2, None)], "k int, text string")
     got = {r.k: r.embedding for r in embedding.embed(df, batch_size=1).collect()}
@@ -212,6 +321,16 @@ def test_stream_equals_batch(spark, tmp_path):
     assert stateful.run_available(stateful.dedupe_urls_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))).count() == 5
 
 
+def test_rate_limit_stream_goes_on_over_batches(spark, tmp_path):
+    m = [("a", t, i) for i, t in enumerate((0, 0, 0, 1000, 1500, 60000))] + [("b", 0, 9)]
+    schema = "client string, ts_ms bigint, request bigint"
+    for k in range(0, len(m), 2):
+        spark.createDataFrame(m[k : k + 2], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = stateful.run_available(stateful.rate_limit_stream(stream, 60, 2))
+    assert {r.request: r.allowed for r in got.collect()} == {0: True, 1: True, 2: False, 3: True, 4: False, 5: True, 9: True}
+
+
 def test_rate_limit(spark):
     m = [("a", t) for t in (0, 0, 0, 1000, 1500, 60000)] + [("b", 0)]
     got = stateful.rate_limit(spark.createDataFrame(m, "client string, ts_ms bigint"), 60, 2)
