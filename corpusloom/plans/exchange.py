@@ -492,3 +492,13 @@ def rate_limit_stream(spark, d):
     e = ship(spark).readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parquet*")
     rows = e.select(F.col("user_id").alias("client"), TX.epoch_ms(F.col("ts")).alias("ts_ms"), F.col("event_id").alias("request"))
     return stateful.run_available(stateful.rate_limit_stream(rows, 0.05, 2))
+
+
+@query("""SELECT doc_id, doc_id % 5 IN (0, 1) OR (CASE WHEN regexp_matches(t, '(?i)\\bv\\s*t\\s*e\\b') THEN 1 ELSE 0 END + CASE WHEN doc_id % 5 = 2 THEN 2 ELSE 0 END) >= 2 AS navigation
+FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 2 THEN 'Wikidata and portal' ELSE 'Plain words' END AS t FROM documents)""")
+def navigation_by_section(spark, d):
+    """Link lists by the last part of their section path, or by two phrases."""
+    kind = F.col("doc_id") % 5
+    path = F.when(kind == 0, "History > References").when(kind == 1, " external links ").when(kind == 3, "References > History")
+    text = F.when(kind == 2, "Wikidata and portal").otherwise("Plain words")
+    return table(spark, d, "documents").select("doc_id", TX.looks_like_navigation(text, path).alias("navigation"))

@@ -34,6 +34,49 @@ def test_wiki_page():
     assert [b["text"] for b in html_blocks.wiki_blocks_tree("<body><div>only  text</div></body>")] == ["only text"]
 
 
+GOLDENS = {
+    "content in the body's content element": ('<body><div id="bodyContent"><p>A short page.</p></div><p>outside</p></body>', ["A short page."]),
+    "a lead beside an infobox": ('<body><div id="mw-content-text"><table class="infobox"><tr><td><p>box</p></td></tr></table><p>Lead  text<sup>[1]</sup> goes on.</p></div></body>', ["Lead text goes on."]),
+    "no structure at all": ("<body><div>Only a\n division  here.</div></body>", ["Only a division here."]),
+    "references and a navigation box": (
+        '<body><div id="mw-content-text"><p>Body.</p><div class="references"><ol><li>ref</li></ol></div><div class="navbox"><ul><li>nav</li></ul></div></div></body>',
+        ["Body."],
+    ),
+    "sections and a list": ('<body><div class="mw-parser-output"><h2>Part</h2><p>Words.</p><ul><li>one</li><li>two</li></ul></div></body>', ["Part", "Words.", "one", "two"]),
+    "contents, hatnote and thumb": (
+        '<body><div id="mw-content-text"><div class="shortdescription"><p>short</p></div><div class="hatnote"><p>hat</p></div><div class="toc"><ul><li>1</li></ul></div><div class="thumb"><p>pic</p></div><p>Real.</p></div></body>',
+        ["Real."],
+    ),
+    "messages, side bars and void images": (
+        """<body><div class="vector-toc-list"><li>toc</li></div><div class="mw-parser-output"><div class="toclimit-2"><li>toc</li></div><table class="ambox"><tr><td><p>message</p></td></tr></table>
+        <div class="sidebar"><p>side</p></div><div class="thumb"><img class="thumbimage" src="x"><p>pic</p></div><h1>Title</h1><p>First.</p><ul><li>item</li><li>item two<sup>2</sup></li></ul>
+        <div class="mw-collapsible-content"><p>closed</p></div><p>Last.</p><div class="references"><li>r</li></div></div><footer><p>foot</p></footer></body>""",
+        ["Title", "First.", "item", "item two", "Last."],
+    ),
+}
+
+
+@pytest.mark.parametrize("name", sorted(GOLDENS))
+def test_golden_pages(name):
+    page, want = GOLDENS[name]
+    assert [b["text"] for b in html_blocks.wiki_blocks_tree(page)] == want
+    assert html_blocks.wiki_text(page) == "\n".join(want)
+    assert [b["text"] for b in html_blocks.wiki_blocks_streamed(page)] == want  # no block within a block here
+
+
+def test_inline_cases():
+    many = "<article><h1>T</h1>" + "".join(f"<p>five words are in p{i}</p>" for i in range(20)) + "</article>"
+    chunks = html_blocks.normalize("http://a.b/", many.encode(), target=30, overlap=10)["chunks"]
+    assert len(chunks) > 1 and all(a["char_end"] >= b["char_start"] for a, b in zip(chunks, chunks[1:], strict=False))
+    skip = html_blocks.normalize("http://a.b/", b"<p>a</p><div class='Navbox-inner'><ul><li>gone</li></ul></div><p class='navbox'>b</p>")
+    assert [b["text"] for b in skip["blocks"]] == ["a", "b"]
+    wiki = html_blocks.normalize("https://en.wikipedia.org/wiki/X", b"<div id='mw-content-text'><div class='mw-parser-output'><h2>Head</h2><p>a &amp; b</p><li>c</li></div></div>")
+    assert [(b["kind"], b["text"]) for b in wiki["blocks"]] == [("Heading", "Head"), ("Paragraph", "a & b"), ("ListItem", "c")] and wiki["blocks"][0]["section_path"] == [{"level": 1, "title": "Head"}]
+    kept = html_blocks.normalize("http://a.b/", b"<article><nav><li>menu</li></nav><p>x</p></article>")
+    strict = html_blocks.normalize("http://a.b/", b"<article><nav><li>menu</li></nav><p>x</p></article>", strict_boilerplate=True)
+    assert [b["text"] for b in kept["blocks"]] == ["menu", "x"] and [b["text"] for b in strict["blocks"]] == ["x"]
+
+
 def test_empty_and_broken_pages():
     assert html_blocks.normalize("http://a.b/", None)["error"] == "empty body"
     bad = html_blocks.normalize("http://a.b/", b"<p>\xff</p>")
