@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -29,7 +30,7 @@ def _word_heads(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 _STATE = "kind int, value bigint, first bigint, n bigint"
 _SWEPT = f"{_STATE}, rank bigint, per bigint, gap bigint, part int, open boolean"
-DOCS, GAPS, MATCH = 0, 1, 2
+DOCS, GAPS, MATCH, LEFT = 0, 1, 2, 3
 
 
 def _sweep(runs: list[tuple[int, int, int, int]]) -> Iterator[tuple]:
@@ -66,34 +67,60 @@ def _sweep(runs: list[tuple[int, int, int, int]]) -> Iterator[tuple]:
         yield DOCS, size, rank, left, None, None, None, True
 
 
-def _sweep_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """_sweep() of what a partition holds: runs, which its range bounds."""
-    runs, part = [], None
-    for b in batches:
-        runs += zip(*(b.column(c).to_pylist() for c in ("kind", "value", "first", "n")), strict=True)
-        part = b.column("part")[0].as_py() if b.num_rows else part
-    out = list(_sweep(runs))
-    if out:
-        kinds = (pa.int32(), *[pa.int64()] * 6)
-        cols = [pa.array(c, k) for c, k in zip(zip(*(r[:7] for r in out), strict=True), kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays([*cols, pa.array([part] * len(out), pa.int32()), pa.array([r[7] for r in out])], ["kind", "value", "first", "n", "rank", "per", "gap", "part", "open"])
+def _left(runs: list[tuple[int, int, int]], capacity: int) -> tuple[int | None, int, int, int, int]:
+    """(least size, greatest gap, runs, words of the documents that no gap holds, how many of these are greater than half of capacity)."""
+    docs = [(value, n) for kind, value, n in runs if kind == DOCS]
+    most = max((value for kind, value, _ in runs if kind == GAPS), default=0)
+    stuck = [(value, n) for value, n in docs if value > most]
+    return min((v for v, _ in docs), default=None), most, len(runs), sum(v * n for v, n in stuck), sum(n for v, n in stuck if 2 * v > capacity)
 
 
-def _sweep_round(state: DataFrame, runs: int, task_runs: int) -> DataFrame:
+def _sweeper(capacity: int | None):
+    """A task that sweeps what its partition holds: runs, which its range bounds. With a capacity (that is, where one task holds
+    everything) a row of kind LEFT tells _left() of the outcome too."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs, part = [], None
+        for b in batches:
+            runs += zip(*(b.column(c).to_pylist() for c in ("kind", "value", "first", "n")), strict=True)
+            part = b.column("part")[0].as_py() if b.num_rows else part
+        out = list(_sweep(runs))
+        if out and capacity:
+            least, most, n, words, great = _left([(r[0], r[1], r[3]) for r in out if r[0] != MATCH], capacity)
+            out.append((LEFT, least, most, n, words, great, None, False))
+        if out:
+            kinds = (pa.int32(), *[pa.int64()] * 6)
+            cols = [pa.array(c, k) for c, k in zip(zip(*(r[:7] for r in out), strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array([part] * len(out), pa.int32()), pa.array([r[7] for r in out])], ["kind", "value", "first", "n", "rank", "per", "gap", "part", "open"])
+
+    return task
+
+
+def _sweep_round(state: DataFrame, runs: int, task_runs: int, capacity: int) -> DataFrame:
     """A sweep over all runs by range partitions. What found no partner in its range is swept again with that of the ranges next to
     it, by eights, until one range is left: the matches are those of one sweep over everything."""
     parts = max(1, -(-runs // task_runs))
-    ranged = state.repartitionByRange(parts, "value", "kind", "first") if parts > 1 else state.repartition(1)
-    swept = materialize(ranged.withColumn("part", F.spark_partition_id()).mapInArrow(_sweep_task, _SWEPT))
-    done = swept if parts == 1 else swept.where("not open")
+    if parts == 1:
+        return materialize(state.repartition(1).withColumn("part", F.lit(0)).mapInArrow(_sweeper(capacity), _SWEPT))
+    ranged = state.repartitionByRange(parts, "value", "kind", "first").withColumn("part", F.spark_partition_id())
+    swept = materialize(ranged.mapInArrow(_sweeper(None), _SWEPT))
+    done = swept.where("not open")
     while parts > 1:
         parts = -(-parts // 8)
         left = swept.where("open").select("kind", "value", "first", "n", F.floor(F.col("part") / 8).cast("int").alias("part"))
-        swept = materialize(left.repartitionById(parts, F.col("part")).mapInArrow(_sweep_task, _SWEPT))
+        swept = materialize(left.repartitionById(parts, F.col("part")).mapInArrow(_sweeper(None), _SWEPT))
         done = done.unionByName(swept if parts == 1 else swept.where("not open"))
     return done
 
 
+def _left_of(state: DataFrame, capacity: int) -> tuple[int | None, int, int, int, int]:
+    """_left() of a state of any size."""
+    size = F.when(F.col("kind") == DOCS, F.col("value"))
+    least, most, runs = state.agg(F.min(size), F.coalesce(F.max(F.when(F.col("kind") == GAPS, F.col("value"))), F.lit(0)), F.count("*")).first()
+    words, great = state.where(size > most).agg(F.coalesce(F.sum(size * F.col("n")), F.lit(0)), F.coalesce(F.sum(F.when(2 * size > capacity, F.col("n"))), F.lit(0))).first()
+    return least, most, runs, words, great
+
+
 def plan_bins(sizes: DataFrame, capacity: int, task_runs: int = 1 << 16) -> tuple[np.ndarray, int, int]:
     """Bulk-synchronous best fit over (size, n); (rows of (size, first rank, bin, per bin, position), bins, rounds).
 
@@ -105,23 +132,21 @@ def plan_bins(sizes: DataFrame, capacity: int, task_runs: int = 1 << 16) -> tupl
     """
     spark = sizes.sparkSession
     state = sizes.select(F.lit(DOCS).alias("kind"), F.col("size").alias("value"), F.lit(0).cast("bigint").alias("first"), "n")
+    least, _, runs, words, great = _left_of(state, capacity)
     matches, bins, rounds = [], 0, 0
-    while True:
-        size = F.when(F.col("kind") == DOCS, F.col("value"))
-        least, most, runs = state.agg(F.min(size), F.max(F.when(F.col("kind") == GAPS, F.col("value"))), F.count("*")).first()
-        if least is None:
-            break
-        words, great = state.where(size > (most or 0)).agg(F.sum(size * F.col("n")), F.sum(F.when(2 * size > capacity, F.col("n")))).first()
+    while least is not None:
         state = state.where((F.col("kind") == DOCS) | (F.col("value") >= least))
         if words:
             opened = great or -(-words // capacity)
             state = state.unionByName(spark.createDataFrame([(GAPS, capacity, bins, opened)], _STATE))
             bins += opened
-        swept = _sweep_round(state, runs + 1, task_runs)
+        swept = _sweep_round(state, runs + 1, task_runs, capacity)
         matches.append(swept.where(F.col("kind") == MATCH).select(F.col("value").alias("size"), "rank", F.col("first").alias("bin"), "per", (capacity - F.col("gap")).alias("position")))
-        state = swept.where(F.col("kind") != MATCH).select("kind", "value", "first", "n")
+        state = swept.where(F.col("kind") < MATCH).select("kind", "value", "first", "n")
+        told = swept.where(F.col("kind") == LEFT).select("value", "first", "n", "rank", "per").first()
+        least, _, runs, words, great = told or _left_of(state, capacity)
         rounds += 1
-    rows = [tuple(r) for m in matches for r in m.toLocalIterator()]
+    rows = [tuple(r) for r in reduce(DataFrame.unionByName, matches).collect()] if matches else []
     return np.array(rows, np.int64).reshape(-1, 5), bins, rounds
 
 
