@@ -135,7 +135,7 @@ def fit(
     landmarks: int = 128,
     ridge: float = 1e-2,
     orders: tuple[int, ...] = (1, 2, 3),
-    reject: float = 1e-3,
+    reject: float = 5e-4,
     folds: int = 5,
     groups: int = 16,
     seed: int = 3,
@@ -256,7 +256,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, only_accepted: bool =
     """docs with language, language_score and accepted (names get underscores where docs has them), or just its accepted rows.
 
     A row is rejected, with language 'und', if its text is null or holds no letter, or if its best one-versus-rest score, the lead
-    of that over the second or its likeness to the landmarks is below what all but about 0.1 % of held-out labelled rows of its
+    of that over the second or its likeness to the landmarks is below what all but about 0.05 % of held-out labelled rows of its
     length reach. Ties go to the class first in the alphabet. Without a model all rows are rejected. All rows and columns of docs
     pass, in no order.
     """
