@@ -27,27 +27,33 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{made}"
 
 
-def new_path(spark: SparkSession, kind: str = "table") -> str:
-    return os.path.join(shared_dir(spark), f"{kind}-{uuid.uuid4().hex}")
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _session_dir(spark: SparkSession) -> str:
+    """The session's own folder in the shared one; it goes when the driver's JVM ends, also after spark.stop()."""
+    path = os.path.join(shared_dir(spark), f"corpusloom-{spark.sparkContext.applicationId}")
+    if path not in _folders:
+        fs, p = _fs(spark, path)
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        _folders.add(path)
+    return path
 
 
+_folders: set[str] = set()
 _written: list[tuple[SparkSession, str]] = []
 
 
+def new_path(spark: SparkSession, kind: str = "table") -> str:
+    return os.path.join(_session_dir(spark), f"{kind}-{uuid.uuid4().hex}")
+
+
 def _delete(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-@atexit.register
-def _delete_all() -> None:
-    """What is still there when the driver ends normally; the session may be gone by then."""
-    for spark, path in _written:
-        try:
-            if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
-                _delete(spark, path)
-        except Exception:  # noqa: BLE001, PERF203
-            return
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
