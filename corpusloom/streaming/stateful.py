@@ -34,9 +34,14 @@ def mark_changed_stream(fetches: DataFrame) -> DataFrame:
     return picked.groupBy("url").applyInPandasWithState(_mark, "url string, seq bigint, checksum string, changed boolean", "checksum string", "append", GroupStateTimeout.NoTimeout)
 
 
-def dedupe_urls_stream(tasks: DataFrame, url_col: str = "url") -> DataFrame:
-    """Each URL once, at its first arrival: the exact seen set as state."""
-    return tasks.dropDuplicates([url_col])
+def dedupe_urls_stream(tasks: DataFrame, url_col: str = "url", ts_col: str | None = None, within: str = "7 days") -> DataFrame:
+    """Each URL once, at its first arrival: the exact seen set as state.
+
+    The set grows with the URLs. With an event time column a URL counts as seen for ``within`` after it came, and the state is bounded.
+    """
+    if ts_col is None:
+        return tasks.dropDuplicates([url_col])
+    return tasks.withWatermark(ts_col, within).dropDuplicatesWithinWatermark([url_col])
 
 
 def run_available(stream: DataFrame, path: str | None = None) -> DataFrame:
