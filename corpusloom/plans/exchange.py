@@ -415,7 +415,7 @@ def embed_run_totals(spark, d):
 
 
 EMBEDDED = r"""vectors AS (
-  SELECT key, list_transform(range(0, 64), lambda k: round(list_sum(list_transform(list_filter(hs, lambda h: (h // 16) % 64 = k), lambda h: CASE WHEN (h // 8) % 2 = 1 THEN 1 ELSE -1 END)) / norm, 5)) AS embedding FROM (
+  SELECT key, list_transform(range(0, 64), lambda k: round((list_sum(list_transform(list_filter(hs, lambda h: (h // 16) % 64 = k), lambda h: CASE WHEN (h // 8) % 2 = 1 THEN 1 ELSE -1 END)) / norm)::FLOAT::DOUBLE, 5)) AS embedding FROM (
     SELECT key, hs, sqrt(list_sum(list_transform(range(0, 64), lambda k: coalesce(list_sum(list_transform(list_filter(hs, lambda h: (h // 16) % 64 = k), lambda h: CASE WHEN (h // 8) % 2 = 1 THEN 1 ELSE -1 END)), 0) ** 2))) AS norm FROM (
       SELECT key, list_transform(list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: w <> ''), lambda w: ('0x' || substr(md5(w), 1, 16))::UBIGINT) AS hs FROM asked)))"""
 
