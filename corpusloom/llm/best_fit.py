@@ -76,8 +76,8 @@ def _left(runs: list[tuple[int, int, int]], capacity: int) -> tuple[int | None,
 
 
 def _sweeper(capacity: int | None):
-    """A task that sweeps what its partition holds: runs, which its range bounds. With a capacity (that is, where one task holds
-    everything) a row of kind LEFT tells _left() of the outcome too."""
+    """A task that sweeps what its partition holds: runs, which its range bounds. With a capacity (that is, where one task has come to
+    hold everything) a row of kind LEFT tells _left() of the outcome too."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs, part = [], None
@@ -113,6 +113,33 @@ def _sweep_round(state: DataFrame, runs: int, task_runs: int, capacity: int) ->
     return done
 
 
+def _rounds_task(capacity: int):
+    """All rounds of plan_bins() over what one partition holds: MATCH rows, and a LEFT row with the sequences opened and the rounds."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("kind", "value", "first", "n")), strict=True)]
+        out, bins, rounds = [], 0, 0
+        while True:
+            least, _, _, words, great = _left([(kind, value, n) for kind, value, _, n in state], capacity)
+            if least is None:
+                break
+            state = [r for r in state if r[0] == DOCS or r[1] >= least]
+            if words:
+                opened = great or -(-words // capacity)
+                state.append((GAPS, capacity, bins, opened))
+                bins += opened
+            swept = list(_sweep(state))
+            out += [r for r in swept if r[0] == MATCH]
+            state = [r[:4] for r in swept if r[0] != MATCH]
+            rounds += 1
+        out.append((LEFT, None, bins, rounds, None, None, None, False))
+        kinds = (pa.int32(), *[pa.int64()] * 6)
+        cols = [pa.array(c, k) for c, k in zip(zip(*(r[:7] for r in out), strict=True), kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays([*cols, pa.array([0] * len(out), pa.int32()), pa.array([False] * len(out))], ["kind", "value", "first", "n", "rank", "per", "gap", "part", "open"])
+
+    return task
+
+
 def _left_of(state: DataFrame, capacity: int) -> tuple[int | None, int, int, int, int]:
     """_left() of a state of any size."""
     size = F.when(F.col("kind") == DOCS, F.col("value"))
@@ -127,12 +154,19 @@ def plan_bins(sizes: DataFrame, capacity: int, task_runs: int = 1 << 16) -> tupl
     Documents of one size are alike but for their rank, so the sweeps go over runs of them, and of sequences (of consecutive
     numbers) with equal gaps. A round sorts both by size, matches documents with their successors among the gaps by a sweep, where
     documents that want one gap go by size and rank, updates the gaps and repeats. Before a round, documents that no gap holds
-    open sequences: one for each that is greater than half of one, else as many as their words fill. Every round is written to the
-    shared folder.
+    open sequences: one for each that is greater than half of one, else as many as their words fill.
+
+    While all runs fit one range partition (task_runs), its task goes through the rounds without waiting for others; beyond that a
+    round is a job over range partitions, written to the shared folder. Both give the same rows.
     """
     spark = sizes.sparkSession
     state = sizes.select(F.lit(DOCS).alias("kind"), F.col("size").alias("value"), F.lit(0).cast("bigint").alias("first"), "n")
     least, _, runs, words, great = _left_of(state, capacity)
+    if runs <= task_runs:
+        swept = state.repartition(1).mapInArrow(_rounds_task(capacity), _SWEPT).select("kind", "value", "rank", "first", "per", "gap", "n").collect()
+        rows = [(r["value"], r["rank"], r["first"], r["per"], capacity - r["gap"]) for r in swept if r["kind"] == MATCH]
+        told = next((r for r in swept if r["kind"] == LEFT), None)
+        return np.array(rows, np.int64).reshape(-1, 5), *((told["first"], told["n"]) if told else (0, 0))
     matches, bins, rounds = [], 0, 0
     while least is not None:
         state = state.where((F.col("kind") == DOCS) | (F.col("value") >= least))
