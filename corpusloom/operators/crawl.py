@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import html_blocks
+from ..functions.batches import slices
 from ..functions.urls import domain_allowed, shard_owner, url_fits
 from ..storage import materialize
 
@@ -23,17 +24,18 @@ def seed_tasks(spark: SparkSession, urls: Iterable[str], shards: int = 1) -> Dat
 def extract_links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, page_url, pos, link) of each a[href], in document order, resolved against the page's URL.
 
-    Null pages and hrefs that do not resolve to a host give no rows. Rows that repeat an id are pages of their own.
+    Null pages and hrefs that do not resolve to a host give no rows. Rows that repeat an id are pages of their own. A page's HTML is
+    not copied to its links.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 2):
             found = [html_blocks.links(u, h) for u, h in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
             at = [i for i, x in enumerate(found) for _ in x]
             if at:
-                own = b.take(pa.array(at))
+                at = pa.array(at)
                 yield pa.RecordBatch.from_arrays(
-                    [own.column(0), own.column(1), pa.array([k for x in found for k in range(len(x))], pa.int64()), pa.array([u for x in found for u in x], pa.string())], ["page_id", "page_url", "pos", "link"]
+                    [b.column(0).take(at), b.column(1).take(at), pa.array([k for x in found for k in range(len(x))], pa.int64()), pa.array([u for x in found for u in x], pa.string())], ["page_id", "page_url", "pos", "link"]
                 )
 
     picked = pages.select(F.col(id_col).cast("bigint").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
