@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from ..functions.batches import slices
 from ..functions.urls import hash_shard
 
 WORD = re.compile(r"[^\W_]+")
@@ -71,7 +72,7 @@ def write_ordered(df: DataFrame, path: str, *order: str) -> None:
 def chunk_table(chunks: DataFrame, keys: tuple[str, ...] = ("url", "chunk_id"), text_col: str = "text") -> DataFrame:
     """chunks as the store's table: one row a key (a null or repeated key is an error), with lexemes, the text's own index.
 
-    lexemes lists each distinct lower-case word with its positions, which count from 1.
+    lexemes lists each distinct lower-case word with its positions, which count from 1. Texts are indexed in slices of about 1 MB.
     """
     bad = chunks.groupBy(*keys).count().where(" or ".join(f"`{k}` is null" for k in keys) + " or count > 1").first()
     if bad is not None:
@@ -80,7 +81,7 @@ def chunk_table(chunks: DataFrame, keys: tuple[str, ...] = ("url", "chunk_id"),
     kind = pa.list_(pa.struct([("lexeme", pa.string()), ("positions", pa.list_(pa.int32()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, at):
             rows = []
             for text in b.column(at).to_pylist():
                 own: dict[str, list[int]] = {}
