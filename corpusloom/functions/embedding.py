@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .batches import slices
+
 
 class RetryableError(Exception):
     """A failure that may pass: too many requests, a server error, a lost connection."""
@@ -68,7 +70,7 @@ def embed(chunks: DataFrame, make_client: Callable[[], EmbeddingClient] = Hashin
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = make_client()
-        for b in batches:
+        for b in slices(batches, at):
             texts = b.column(at).to_pylist()
             there = [i for i, t in enumerate(texts) if t is not None]
             vectors: list[list[float] | None] = [None] * len(texts)

@@ -86,6 +86,27 @@ def test_slices_of_batches():
         assert all(x.num_rows == 1 or sum(len((t or "").encode()) for t in x.column(1).to_pylist()) <= size for x in got)
 
 
+@pytest.mark.parametrize("step", ["chunk_table", "english", "simple", "postings"])
+def test_text_kernels_go_by_slices(spark, monkeypatch, step):
+    """A batch of many rows reaches no kernel whole: with slices of 1 kB each gives its rows in several batches, and the same rows."""
+    d = spark.range(400).coalesce(1).select("id", F.concat(F.lit("red fox "), F.repeat(F.lit("some word "), 20), "id").alias("text"))
+    q = spark.createDataFrame([(1, "red fox"), (2, "word 7")], "query_id bigint, query string")
+    run = {
+        "chunk_table": lambda: sinks.chunk_table(d, ("id",)), "english": lambda: retrieval.lexical_english_scan(q, d), "simple": lambda: retrieval.lexical_simple(q, d), "postings": lambda: retrieval.postings(d),
+    }[step]
+    whole = rows(run())
+    module = sinks if step == "chunk_table" else retrieval
+    marks = spark.sparkContext.accumulator(0)
+
+    def small(bs, at, size=1000):
+        for b in batches.slices(bs, at, size):
+            marks.add(1)
+            yield b
+
+    monkeypatch.setattr(module, "slices", small)
+    assert rows(run()) == whole and marks.value > 50
+
+
 def test_pages_without_html(spark):
     p = spark.createDataFrame([("http://a.b/", None), (None, "<p>x</p>"), ("http://en.wikipedia.org/wiki/X", "<body><h2>T</h2><p>y</p></body>")], "url string, html string")
     got = {r.url: r for r in pages.normalize_pages(p).collect()}
