@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-TARGET_TOKENS, OVERLAP_TOKENS, MAX_BLOCKS = 256, 48, 8192
+TARGET_TOKENS, OVERLAP_TOKENS = 256, 48
 
 
 def clamp(target: int, overlap: int) -> tuple[int, int]:

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html_blocks
-from ..functions.chunking import MAX_BLOCKS, OVERLAP_TOKENS, TARGET_TOKENS, chunk_blocks
+from ..functions.batches import slices
+from ..functions.chunking import OVERLAP_TOKENS, TARGET_TOKENS, chunk_blocks
 
 _PATH = pa.list_(pa.struct([("level", pa.int16()), ("title", pa.string())]))
 _BLOCK = pa.struct(
@@ -22,22 +23,21 @@ CHUNKS = f"array<struct<chunk_id:bigint,block_index:bigint,text:string,token_est
 
 
 def normalize_pages(
-    pages: DataFrame, url_col: str = "url", html_col: str = "html", target: int = TARGET_TOKENS, overlap: int = OVERLAP_TOKENS, max_blocks: int = MAX_BLOCKS, strict_boilerplate: bool = False
+    pages: DataFrame, url_col: str = "url", html_col: str = "html", target: int = TARGET_TOKENS, overlap: int = OVERLAP_TOKENS, max_blocks: int | None = None, strict_boilerplate: bool = False, closed_references: bool = False
 ) -> DataFrame:
     """(url, body_text, blocks, chunks, checksum, content_length, lossy_decoding, error) of every page.
 
     checksum is the CRC-32 of the raw bytes, offsets are UTF-8 bytes of body_text. A null or empty page has the error
-    'empty body' and no blocks. Rows stay where they are: no shuffle.
+    'empty body' and no blocks. Rows stay where they are: no shuffle. All blocks of a page count, unless max_blocks asks for the first
+    ones. With closed_references only character references that end with a semicolon are decoded; HTML itself decodes some without.
     """
     names = ["body_text", "blocks", "chunks", "checksum", "content_length", "lossy_decoding", "error"]
     kinds = [pa.string(), pa.list_(_BLOCK), pa.list_(_CHUNK), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                rows = [html_blocks.normalize(u, h, target, overlap, max_blocks, strict_boilerplate) for u, h in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([r[n] for r in rows], k) for n, k in zip(names, kinds, strict=True))], ["url", *names])
+        for b in slices(batches, 1):
+            rows = [html_blocks.normalize(u, h, target, overlap, max_blocks, strict_boilerplate, closed_references) for u, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[n] for r in rows], k) for n, k in zip(names, kinds, strict=True))], ["url", *names])
 
     picked = pages.select(F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("binary").alias("html"))
     return picked.mapInArrow(run, f"url string, body_text string, blocks {BLOCKS}, chunks {CHUNKS}, checksum bigint, content_length bigint, lossy_decoding boolean, error string")
@@ -56,7 +56,7 @@ def wiki_blocks(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     kernel = html_blocks.wiki_blocks_tree if nested else html_blocks.wiki_blocks_streamed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 1):
             rows = [(u, x) for u, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for x in kernel(h or "")]
             if rows:
                 fields = [("type", pa.string()), ("text", pa.string()), ("section_path", pa.list_(pa.string())), ("index", pa.int64())]

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.functions import batches, embedding
+from corpusloom.functions import batches, embedding, html_blocks
 from corpusloom.functions import text as TX
 from corpusloom.functions import urls as U
 from corpusloom.operators import crawl, dataset, manifest, pages, retrieval
@@ -115,6 +115,27 @@ def test_pages_without_html(spark):
     assert pages.normalize_pages(p.limit(0)).count() == 0 and pages.wiki_blocks(p).count() >= 3
 
 
+def test_all_blocks_of_a_long_page_count(spark):
+    html = "<article><h1>T</h1>" + "".join(f"<p>w{i}</p>" for i in range(9000)) + "</article>"
+    got = pages.normalize_pages(spark.createDataFrame([("http://a.b/", html)], "url string, html string"))
+    assert pages.page_blocks(got).count() == 9001 and "w8999" in pages.page_chunks(got).orderBy(F.desc("chunk_id")).first().text
+    assert len(html_blocks.normalize("u", html.encode(), max_blocks=3)["blocks"]) == 3
+
+
+def test_references_without_a_semicolon(spark, tmp_path):
+    """HTML decodes them; the queries, as their SQL, keep them: a title cut within a reference."""
+    html = '<article><h1>a &amp; b&amp</h1>\n<p>x &quot;y&quot; &amp;quot; z &amp</p></article>'
+    assert [b["text"] for b in html_blocks.normalize("u", html.encode())["blocks"]] == ["a & b&", 'x "y" &quot; z &']
+    want = ["a & b&amp", 'x "y" &quot; z &amp']
+    assert [b["text"] for b in html_blocks.normalize("u", html.encode(), closed_references=True)["blocks"]] == want
+    assert html_blocks.close_references("&#38; &#x26; &nope; &copy &copy; a&b &") == "&#38; &#x26; &amp;nope; &amp;copy &copy; a&amp;b &amp;"
+    spark.createDataFrame([(1, "http://a.b/", html)], "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    for name, at in (("page_blocks", "text"), ("page_chunks", "text"), ("embed_chunks", "embedding")):
+        assert [r[0] for r in con.execute(f"SELECT {at} FROM ({ORACLE_SQL[name]}) ORDER BY ALL").fetchall()] == sorted(r[at] for r in QUERIES[name](spark, str(tmp_path)).collect())
+
+
 def test_windows(spark):
     df = spark.createDataFrame([(1, [5, 6, 7, 8]), (2, []), (3, None)], "k int, ids array<int>")
     got = pages.inputs_and_targets(pages.lm_windows(df, "ids", 3))
