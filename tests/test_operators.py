@@ -86,16 +86,17 @@ def test_slices_of_batches():
         assert all(x.num_rows == 1 or sum(len((t or "").encode()) for t in x.column(1).to_pylist()) <= size for x in got)
 
 
-@pytest.mark.parametrize("step", ["chunk_table", "english", "simple", "postings"])
+@pytest.mark.parametrize("step", ["chunk_table", "english", "simple", "postings", "doc_chunks", "doc_paragraphs"])
 def test_text_kernels_go_by_slices(spark, monkeypatch, step):
     """A batch of many rows reaches no kernel whole: with slices of 1 kB each gives its rows in several batches, and the same rows."""
     d = spark.range(400).coalesce(1).select("id", F.concat(F.lit("red fox "), F.repeat(F.lit("some word "), 20), "id").alias("text"))
     q = spark.createDataFrame([(1, "red fox"), (2, "word 7")], "query_id bigint, query string")
     run = {
         "chunk_table": lambda: sinks.chunk_table(d, ("id",)), "english": lambda: retrieval.lexical_english_scan(q, d), "simple": lambda: retrieval.lexical_simple(q, d), "postings": lambda: retrieval.postings(d),
+        "doc_chunks": lambda: pages.doc_chunks(d, id_col="id"), "doc_paragraphs": lambda: pages.doc_paragraphs(d, id_col="id"),
     }[step]
     whole = rows(run())
-    module = sinks if step == "chunk_table" else retrieval
+    module = sinks if step == "chunk_table" else pages if step.startswith("doc") else retrieval
     marks = spark.sparkContext.accumulator(0)
 
     def small(bs, at, size=1000):
@@ -413,6 +414,22 @@ def test_stream_equals_batch(spark, tmp_path):
     assert stateful.run_available(stateful.dedupe_urls_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))).count() == 5
 
 
+@pytest.mark.parametrize("buckets", [1, 3, 1024])
+def test_marks_of_a_stream_by_buckets(spark, tmp_path, buckets):
+    """Many URLs are one group, and its state goes on over micro-batches; null checksums count as changed, as does what follows them."""
+    rng = random.Random(8)
+    m = [(f"u{rng.randrange(30)}", i, rng.choice(["a", "b", None])) for i in range(240)] + [(None, 999, "a")]
+    schema = "url string, seq bigint, checksum string"
+    for k in range(0, len(m), 80):
+        spark.createDataFrame(m[k : k + 80], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    last, want = {}, []
+    for u, i, c in m[:240]:
+        want.append((u, i, c, last.get(u) is None or c != last[u]))
+        last[u] = c
+    assert rows(stateful.run_available(stateful.mark_changed_stream(stream, buckets))) == sorted(want, key=repr)
+
+
 def test_rate_limit_stream_goes_on_over_batches(spark, tmp_path):
     m = [("a", t, i) for i, t in enumerate((0, 0, 0, 1000, 1500, 60000))] + [("b", 0, 9)]
     schema = "client string, ts_ms bigint, request bigint"
