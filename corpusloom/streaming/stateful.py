@@ -16,22 +16,30 @@ from ..storage import new_path
 
 
 def _mark(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(pdfs)).sort_values("seq", kind="stable")
-    before = state.get[0] if state.exists else None
-    sums = rows["checksum"].tolist()
-    rows["changed"] = [prev is None or s != prev for prev, s in zip([before, *sums[:-1]], sums, strict=True)]
-    state.update((sums[-1],))
+    rows = pd.concat(list(pdfs)).sort_values(["url", "seq"], kind="stable")
+    last = dict(zip(*state.get, strict=True)) if state.exists else {}
+    first = rows["url"] != rows["url"].shift()
+    before = rows["checksum"].shift().where(~first, rows["url"].map(last))
+    rows["changed"] = before.isna() | (rows["checksum"] != before)
+    end = rows["url"] != rows["url"].shift(-1)
+    last |= {u: None if pd.isna(c) else c for u, c in zip(rows.loc[end, "url"], rows.loc[end, "checksum"], strict=True)}
+    state.update((list(last), list(last.values())))
     yield rows[["url", "seq", "checksum", "changed"]]
 
 
-def mark_changed_stream(fetches: DataFrame) -> DataFrame:
+def mark_changed_stream(fetches: DataFrame, buckets: int = 1024) -> DataFrame:
     """(url, seq, checksum, changed) of a stream with url, seq and checksum (a string): changed against the URL's last checksum.
 
     One checksum a URL is kept as state; rows of a micro-batch go by seq, and a row that comes in a later one is compared with the
     last that came before, whatever its seq. Null URLs are left out, since they have no key.
+
+    URLs of a bucket are one group of the stream, since a call of Python for each URL takes longer than the marks. A task holds a
+    bucket's rows of a micro-batch and its state, so buckets should grow with both; a checkpoint goes with its number of buckets.
     """
-    picked = fetches.where("url is not null").select("url", F.col("seq").cast("bigint"), F.col("checksum").cast("string"))
-    return picked.groupBy("url").applyInPandasWithState(_mark, "url string, seq bigint, checksum string, changed boolean", "checksum string", "append", GroupStateTimeout.NoTimeout)
+    bucket = F.pmod(F.xxhash64("url"), F.lit(buckets)).cast("int").alias("bucket")
+    picked = fetches.where("url is not null").select("url", F.col("seq").cast("bigint"), F.col("checksum").cast("string"), bucket)
+    out, kept = "url string, seq bigint, checksum string, changed boolean", "urls array<string>, checksums array<string>"
+    return picked.groupBy("bucket").applyInPandasWithState(_mark, out, kept, "append", GroupStateTimeout.NoTimeout)
 
 
 def dedupe_urls_stream(tasks: DataFrame, url_col: str = "url", ts_col: str | None = None, within: str = "7 days") -> DataFrame:
