@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from fnmatch import fnmatchcase
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.batches import SLICE_BYTES
+from ..storage import open_fs
+
 PATH = "array<struct<level:smallint,title:string>>"
 MANIFEST = "url string, checksum bigint, last_seen_epoch_ms bigint, changed boolean"
 EMBEDDED = f"url string, chunk_id bigint, block_index bigint, text string, section_path {PATH}, token_estimate bigint, embedding array<float>, checksum bigint, last_seen_epoch_ms bigint"
@@ -68,5 +75,47 @@ def read_texts(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def read_html(spark: SparkSession, path: str) -> DataFrame:
-    """(url, html) of HTML files, the file's path as URL."""
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("url"), F.col("content").alias("html"))
+    """(url, html) of HTML files, the file's path as URL.
+
+    Where the last part of path is a pattern (* and ?), tasks list the folders and read the files, so that neither the list of all
+    files nor a task for every few of them is on the driver. Hidden files (. and _) are passed over, as Spark does; empty
+    ones are rows here, while Spark's reader, which takes any other path, leaves them out.
+    """
+    folder, _, pattern = path.rpartition("/")
+    if not folder or not set(pattern) & set("*?") or set(pattern) & set("[]{}\\"):
+        return spark.read.format("binaryFile").load(path).select(F.col("path").alias("url"), F.col("content").alias("html"))
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    folders = [(s.getPath().toString(),) for s in found or [] if s.isDirectory()]
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow.fs import FileSelector
+
+        for b in batches:
+            for uri in b.column(0).to_pylist():
+                fs, base = open_fs(uri)
+                own = [x.base_name for x in fs.get_file_info(FileSelector(base)) if x.is_file and x.base_name[0] not in "._" and fnmatchcase(x.base_name, pattern)]
+                yield pa.RecordBatch.from_arrays([pa.array([f"{uri}/{n}" for n in own], pa.string())], ["url"])
+
+    def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            urls, bodies, size = [], [], 0
+            for uri in b.column(0).to_pylist():
+                fs, name = open_fs(uri)
+                with fs.open_input_stream(name) as f:
+                    bodies.append(f.read())
+                urls.append(uri)
+                size += len(bodies[-1])
+                if size > SLICE_BYTES:
+                    yield _files(urls, bodies)
+                    urls, bodies, size = [], [], 0
+            yield _files(urls, bodies)
+
+    # Few bytes stand for many files: numbers of partitions that AQE leaves as they are.
+    parts = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    listed = spark.createDataFrame(folders, "url string").repartition(min(max(1, len(folders)), parts)).mapInArrow(names, "url string")
+    return listed.repartition(parts).mapInArrow(contents, "url string, html binary")
+
+
+def _files(urls: list[str], bodies: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(urls, pa.string()), pa.array(bodies, pa.binary())], ["url", "html"])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from uuid import uuid4
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -12,6 +14,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from ..functions.batches import slices
 from ..functions.urls import hash_shard
+from ..storage import open_fs, qualified
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -40,6 +43,33 @@ def write_striped(df: DataFrame, path: str, stripes: int, url_col: str = "url",
     df.withColumn("part", stripe).repartition(n, "part").write.mode("overwrite").partitionBy("part").json(path)
 
 
+def write_html(pages: DataFrame, path: str, id_col: str, html_col: str = "html", folders: int = 256) -> None:
+    """A file for each row, {path}/{folder}/{id_col}={id}.html; a null page is an empty file, rows of one id leave one file.
+
+    Tasks write files where the rows are. Spark's partitioned writer would open a folder for each file and name them all to the
+    driver. A file is there whole or not at all, also where a task is tried again.
+    """
+    uri = qualified(pages.sparkSession, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = open_fs(uri)
+        made: set[int] = set()
+        for b in slices(batches, 1):
+            for i, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                folder = crc32(i.encode()) % max(1, folders)
+                if folder not in made:
+                    fs.create_dir(f"{base}/{folder}", recursive=True)
+                    made.add(folder)
+                part = f"{base}/{folder}/.{uuid4().hex}"
+                with fs.open_output_stream(part) as f:
+                    f.write(h or b"")
+                fs.move(part, f"{base}/{folder}/{id_col}={i}.html")
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    picked = pages.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string"), F.col(html_col).cast("binary"))
+    picked.mapInArrow(run, "n bigint").agg(F.sum("n")).collect()
+
+
 def identifier(name: str) -> str:
     """A checked and quoted table name, with or without a database."""
     parts = name.split(".")

@@ -56,6 +56,21 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """path with its scheme, as the session's file systems have it."""
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toString()
+
+
+def open_fs(uri: str):
+    """(pyarrow file system, path in it) of a qualified path, on any worker."""
+    from pyarrow import fs
+
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(uri)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """df as a table in the shared folder: lineage ends there and survives lost executors.
 

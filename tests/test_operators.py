@@ -402,6 +402,22 @@ def test_sources_and_sinks(spark, tmp_path):
     assert jsonl.read_html(spark, str(tmp_path / "p.html")).count() == 1
 
 
+def test_html_files(spark, tmp_path):
+    """As binaryFile reads them, in tasks: a read has no list of files in its plan, and a write no folder for each file."""
+    path = str(tmp_path / "html")
+    p = spark.createDataFrame([(i, f"<p>é {i}\n</p>".encode() if i % 7 else None) for i in range(300)], "page_id bigint, html binary")
+    sinks.write_html(p.repartition(3), path, "page_id", folders=5)
+    sinks.write_html(p.where("page_id < 9"), path, "page_id", folders=5)  # as a task that is tried again
+    (tmp_path / "html" / "0" / ".hidden.html").write_text("x")
+    (tmp_path / "html" / "0" / "other.txt").write_text("x")
+    assert len(list((tmp_path / "html").iterdir())) == 5
+    got = jsonl.read_html(spark, f"{path}/*/*.html")
+    plain = spark.read.format("binaryFile").load(f"{path}/*/*.html").select("path", "content")
+    assert rows(got.where("octet_length(html) > 0")) == rows(plain) and got.count() == 300  # binaryFile passes over empty files
+    assert "binaryFile" not in got._jdf.queryExecution().executedPlan().toString()
+    assert jsonl.read_html(spark, f"{path}/*/*.none").count() == 0
+
+
 def test_stream_equals_batch(spark, tmp_path):
     rng = random.Random(4)
     all_rows = [(f"u{rng.randrange(5)}", i, str(rng.randrange(2))) for i in range(60)]
