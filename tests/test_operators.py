@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom import session
 from corpusloom.functions import batches, embedding, html_blocks
 from corpusloom.functions import text as TX
 from corpusloom.functions import urls as U
@@ -108,6 +109,37 @@ def test_text_kernels_go_by_slices(spark, monkeypatch, step):
     assert rows(run()) == whole and marks.value > 50
 
 
+def test_words_of_a_long_text_are_held_a_piece_at_a_time(spark, monkeypatch):
+    """The lists make up the text's words whatever the size; a text of 40 pieces gives the score of the whole one."""
+    text = "red_fox, ünï9 " * 50 + "x" * 70 + " end"
+    for size in (1, 7, 64, 1 << 20):
+        lists = list(retrieval._word_lists(text, size))
+        assert sum(lists, []) == retrieval._WORD.findall(text) and (size > 64 or all(len(x) <= size + 1 for x in lists))
+    assert list(retrieval._word_lists("")) == []
+    d = spark.createDataFrame([(1, text), (2, "Red fox end"), (3, "fox"), (4, ""), (5, None)], "id bigint, text string")
+    q = spark.createDataFrame([(1, "red FOX end"), (2, "fox"), (3, "...")], "query_id bigint, query string")
+    whole, cut = rows(retrieval.lexical_simple(q, d)), retrieval._word_lists
+    monkeypatch.setattr(retrieval, "_word_lists", lambda t: cut(t, 16))
+    assert rows(retrieval.lexical_simple(q, d)) == whole == rows(retrieval.lexical_simple(q, d, max_broadcast_bytes=0))
+
+
+def test_arrow_batches_go_by_bytes(spark):
+    """Of 300 rows of 0.1 MB a Python worker gets some 4 MB at once; a longer text is a batch of its own; what a session names stays."""
+
+    def sizes(bs):
+        for b in bs:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows], "bytes": [b.nbytes]})
+
+    d = spark.range(300).coalesce(1).select("id", F.repeat(F.lit("x"), F.when(F.col("id") == 150, 6_000_000).otherwise(100_000)).alias("text"))
+    key = session.ARROW_KEY
+    session.ship(spark)
+    got = d.mapInArrow(sizes, "n bigint, bytes bigint").collect()
+    assert sum(r.n for r in got) == 300 and max(r.bytes for r in got) < 11_000_000 and sorted(r.bytes for r in got)[-2] < 4_500_000
+    own = spark.newSession()
+    own.conf.set(key, "12345678")
+    assert session.ship(own).conf.get(key).rstrip("b") == "12345678"
+
+
 def test_pages_without_html(spark):
     p = spark.createDataFrame([("http://a.b/", None), (None, "<p>x</p>"), ("http://en.wikipedia.org/wiki/X", "<body><h2>T</h2><p>y</p></body>")], "url string, html string")
     got = {r.url: r for r in pages.normalize_pages(p).collect()}
